@@ -84,12 +84,18 @@ class Raw:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self.built: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return getattr(self, name)()
+        if name not in self.built:
+            self.built[name] = getattr(self, name)()
+        return self.built[name]
 
     def given(self, table: str) -> DataFrame:
-        return given(self.spark, self.sf_dir, table)
+        key = f"given {table}"
+        if key not in self.built:
+            self.built[key] = given(self.spark, self.sf_dir, table)
+        return self.built[key]
 
     def _order_lines(self, flag: str | None = None) -> DataFrame:
         lines = self.given("lineitem")
@@ -700,10 +706,11 @@ class Raw:
         }
         from vitalmart.sources.layouts import PROCEDURE_CODE_RECORD
 
-        cells = [
-            f"rpad(left({fields.get(name, chr(39) * 2)}, {width}), {width}, ' ')"
-            for name, _, width in PROCEDURE_CODE_RECORD
-        ]
+        cells, upto = [], 1
+        for name, start, width in PROCEDURE_CODE_RECORD:
+            cells.append(f"space({start - upto})")
+            cells.append(f"rpad(left({fields.get(name, chr(39) * 2)}, {width}), {width}, ' ')")
+            upto = start + width
         return self.given("part").selectExpr(f"concat({', '.join(cells)}) as value")
 
     def icd_lines(self) -> DataFrame:

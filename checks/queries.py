@@ -27,8 +27,14 @@ class Clinic:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.raw = Raw(spark, sf_dir)
+        self.built: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.built:
+            self.built[name] = self._build(name)
+        return self.built[name]
+
+    def _build(self, name: str) -> DataFrame:
         catalog = {**lookups.TABLES, **lookups.VIEWS}
         if name in catalog:
             maker, needs = catalog[name]
@@ -243,6 +249,8 @@ def scl_keys(spark, sf_dir):
         "l_linenumber",
         "l_partkey",
         "l_suppkey",
+        "l_returnflag",
+        "l_linestatus",
         keys.surrogate_key(F.when(c("l_linenumber") > 1, c("l_returnflag"))).alias("single_key"),
         keys.hashed("l_orderkey", F.when(c("l_linenumber") > 2, c("l_partkey"))).alias("pair_key"),
         keys.date_key("l_shipdate").alias("ship_date_key"),
@@ -268,7 +276,7 @@ def scl_code_formats(spark, sf_dir):
 
 def scl_measures(spark, sf_dir):
     orders = Raw(spark, sf_dir).given("orders")
-    k, total = c("o_orderkey"), c("o_totalprice")
+    k, total = c("o_orderkey"), c("o_totalprice").cast("decimal(18,2)")
     return orders.select(
         k,
         measures.whole_years(F.lit("1950-06-15").cast("date"), c("o_orderdate")).alias("years"),

@@ -55,16 +55,23 @@ def or_false(value: str | Column) -> Column:
     return F.coalesce(_column(value), F.lit(False))
 
 
+def _quotient(part: Column, whole: Column) -> Column:
+    """``part / whole`` of two-place amounts at two places.
+
+    Both sides become whole numbers before they become doubles, so a quotient lying
+    exactly between two results is seen as such and rounds up.
+    """
+    return F.round((part * 100).cast("double") / (whole * 100).cast("double"), 2)
+
+
 def pct(part: Column, whole: Column) -> Column:
     """Percentage to two places, 0 when there is no positive whole."""
-    ratio = part.cast("double") * F.lit(100.0) / whole.cast("double")
-    return F.when(whole > 0, F.round(ratio, 2)).otherwise(F.lit(0.0))
+    return F.when(whole > 0, _quotient(part * 100, whole)).otherwise(F.lit(0.0))
 
 
 def per_head(amount: Column, heads: Column) -> Column:
     """Amount per head to two places, with at least one head."""
-    floor_one = F.greatest(or_zero(heads), F.lit(1)).cast("double")
-    return F.round(or_zero(amount).cast("double") / floor_one, 2)
+    return _quotient(or_zero(amount), F.greatest(or_zero(heads), F.lit(1)))
 
 
 def count_where(flag: str | Column) -> Column:

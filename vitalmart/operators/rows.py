@@ -89,8 +89,8 @@ def numbered(
     )
     placed = folded.withColumn("_upto", F.sum("_copies").over(within)).join(starts, slot)
     last = F.col("_before") + F.col("_upto")
-    copies = F.explode(F.sequence(last - F.col("_copies") + 1, last))
-    return placed.select(*columns, copies.cast("int").alias(name))
+    numbers = F.sequence(last - F.col("_copies") + 1, last).cast("array<int>")
+    return placed.select(*columns, F.explode(numbers).alias(name))
 
 
 def left_join_hot_right(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

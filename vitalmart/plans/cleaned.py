@@ -80,14 +80,14 @@ def shape(
     if spec.with_state:
         typed["source_state"] = F.col("_state")
 
-    present = raw
-    for key in spec.required:
-        present = present.filter(F.col(spec.text[key]).isNotNull())
+    present = raw.filter(" AND ".join(f"{spec.text[k]} IS NOT NULL" for k in spec.required))
     shaped = present.select(*[column.alias(out) for out, column in typed.items()])
+    if not spec.derived:
+        return shaped
+    # One select: a derived column may use the ones before it as lateral aliases.
     today = F.lit(as_of).cast("date")
-    for out, rule in spec.derived.items():
-        shaped = shaped.withColumn(out, rule(today))
-    return shaped.select(*[c for c in shaped.columns if not c.startswith("_")])
+    shown = [out for out in typed if not out.startswith("_")]
+    return shaped.select(*shown, *[rule(today).alias(out) for out, rule in spec.derived.items()])
 
 
 def _is(column: str, value: str) -> Derived:
@@ -380,7 +380,8 @@ SPECS: dict[str, Spec] = {
         derived={
             "quality_of_life_score_avg": lambda today: casts.as_decimal(F.col("_quality"), 10, 2),
             "coverage_ratio": lambda today: F.try_divide(
-                "amount_covered", F.col("amount_covered") + F.col("amount_uncovered")
+                F.col("amount_covered").cast("double"),
+                (F.col("amount_covered") + F.col("amount_uncovered")).cast("double"),
             ),
         },
     ),

@@ -165,7 +165,7 @@ def dim_organization(organization: DataFrame) -> DataFrame:
 
 def dim_payer(payer: DataFrame) -> DataFrame:
     covered, uncovered = c("covered_encounters"), c("uncovered_encounters")
-    monthly = F.round(c("amount_covered").cast("double") / c("member_months"), 2)
+    monthly = per_head(c("amount_covered"), c("member_months"))
     return payer.select(
         surrogate_key("payer_id").alias("payer_key"),
         *named(
