@@ -17,8 +17,8 @@ from vitalmart.operators.rows import first_n_as_columns
 
 AS_OF = dt.date(2002, 1, 1)
 
-STAMP = "date_format({0}, 'yyyy-MM-dd HH:mm:ss')"
-DAY = "date_format({0}, 'yyyy-MM-dd')"
+STAMP = "cast({0} as string)"
+DAY = "cast(cast({0} as date) as string)"
 
 
 def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -102,7 +102,8 @@ class Raw:
         if flag:
             lines = lines.filter(F.col("l_returnflag") == flag)
         owner = self.given("orders").select("o_orderkey", "o_custkey")
-        return lines.join(owner, F.col("l_orderkey") == F.col("o_orderkey"))
+        # Orders grow with their lines, so they are never the side to broadcast.
+        return lines.join(owner.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
 
     def patients(self) -> DataFrame:
         df = self.given("customer").join(

@@ -63,12 +63,16 @@ def numbered(
     Equal copies are first folded into one row with a count. Rows then fall into slots of
     (key, day, digest prefix): slots follow the wanted order, and a hot key spreads over
     many of them. Slot sizes give each slot its starting number, so only the rows of one
-    slot are ever sorted together.
+    slot are ever sorted together. Rows without a key are not numbered and left out.
+
+    The slot sizes are left joined, which adds no filter of its own to the folded rows, so
+    their shuffle is shared by both uses.
     """
     columns = df.columns
     slot = [key, "_day", "_slice"]
     folded = (
-        df.groupBy(*columns)
+        df.filter(F.col(key).isNotNull())
+        .groupBy(*columns)
         .agg(F.count("*").alias("_copies"))
         .withColumns(
             {"_digest": hashed(*tie), "_day": F.coalesce(F.col(day).cast("string"), F.lit(""))}
@@ -87,7 +91,7 @@ def numbered(
         .orderBy("_digest", *columns)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    placed = folded.withColumn("_upto", F.sum("_copies").over(within)).join(starts, slot)
+    placed = folded.withColumn("_upto", F.sum("_copies").over(within)).join(starts, slot, "left")
     last = F.col("_before") + F.col("_upto")
     numbers = F.sequence(last - F.col("_copies") + 1, last).cast("array<int>")
     return placed.select(*columns, F.explode(numbers).alias(name))

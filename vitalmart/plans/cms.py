@@ -285,7 +285,8 @@ def fact_cms_carrier_claims(encounter: DataFrame, procedure: DataFrame) -> DataF
         "procedure_description",
     )
     line = numbered(lines, "encounter_id", "performed_date", ["procedure_id", "procedure_cost"])
-    header = in_class(encounter, CARRIER_CLASSES).select(
+    keyed = encounter.filter("encounter_id is not null and patient_id is not null")
+    header = in_class(keyed, CARRIER_CLASSES).select(
         "encounter_id",
         "patient_id",
         "provider_id",

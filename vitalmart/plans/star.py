@@ -348,7 +348,10 @@ def fact_claim(claim: DataFrame, response: DataFrame, grain: str = "response") -
     repeats. ``grain="claim"`` first folds the responses of a claim into sums, the latest
     payment date and the lowest procedure code; it is complete only if all of them are.
     """
-    answers = response.select("claim_id", *named(**RESPONSE_COLUMNS))
+    claim = claim.filter(c("claim_id").isNotNull() & c("patient_id").isNotNull())
+    answers = response.filter("claim_id is not null").select(
+        "claim_id", *named(**RESPONSE_COLUMNS)
+    )
     if grain == "claim":
         complete = F.bool_and("is_complete")
         partial = ~complete & F.bool_or(c("is_partial") | c("is_complete"))
@@ -596,18 +599,10 @@ def agg_financial_summary(encounters: DataFrame, dates: DataFrame) -> DataFrame:
 
     The calendar holds one row per day of a fixed span, so it is broadcast.
     """
-    months = dates.select(
-        "date_key",
-        "year",
-        "quarter",
-        "month",
-        F.concat("year", F.lit("-Q"), "quarter").alias("year_quarter"),
-        F.date_format("date", "yyyy-MM").alias("year_month"),
-    )
-    period = ["year", "quarter", "month", "year_quarter", "year_month"]
+    months = dates.select("date_key", "year", "quarter", "month")
     return (
         encounters.join(F.broadcast(months), c("start_date_key") == c("date_key"))
-        .groupBy(*period)
+        .groupBy("year", "quarter", "month")
         .agg(
             F.count("*").alias("total_encounters"),
             F.count_distinct("patient_key").alias("unique_patients"),
@@ -633,6 +628,8 @@ def agg_financial_summary(encounters: DataFrame, dates: DataFrame) -> DataFrame:
                 "avg_encounters_per_patient": per_head(
                     c("total_encounters"), c("unique_patients")
                 ),
+                "year_quarter": F.concat("year", F.lit("-Q"), "quarter"),
+                "year_month": F.concat_ws("-", "year", F.lpad("month", 2, "0")),
             }
         )
         .orderBy("year", "quarter", "month")

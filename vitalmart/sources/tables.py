@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -95,10 +95,10 @@ def write_table(
 
 
 def attempt(stage: str, name: str, write: Callable[[], Written]) -> Written:
-    """A failed table becomes a row of the run log instead of ending the run."""
+    """Log entry of one table; a failure becomes an entry instead of ending the run."""
     began = time.monotonic()
     try:
-        return write()
+        return replace(write(), table_name=name)
     except Exception as problem:  # noqa: BLE001 - recorded, not hidden
         took = round(time.monotonic() - began, 3)
         return Written(stage, name, 0, took, False, str(problem)[:2000])
