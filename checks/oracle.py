@@ -606,7 +606,8 @@ ORACLE: dict[str, str] = {
     ),
     "src8_fixed_width_icd": with_parts("SELECT * EXCLUDE (p_partkey) FROM icd_fields", "icd_fields"),
     "src10_optional_lookup": with_parts(no_code("c_procedure_only"), "c_procedure_only"),
-    "src13_state_folders": "SELECT r_name state FROM region",
+    "src13_state_folders": "SELECT DISTINCT n_name state FROM customer JOIN nation ON c_nationkey = n_nationkey "
+    "WHERE c_custkey % 5 > 0",
     "snk2_write_and_count": with_parts(
         "SELECT 'silver' stage, 'v_encounter_flattened' table_name, count(*) row_count, true success FROM c_encounter",
         "c_encounter",

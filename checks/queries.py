@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -172,16 +172,17 @@ def src8_fixed_width_icd(spark, sf_dir):
 
 
 def src13_state_folders(spark, sf_dir):
-    """Files of customers by market segment, then the folders found again."""
-    root = scratch_path(spark, "states")
-    raw = Raw(spark, sf_dir)
-    segments = [r[0] for r in raw.given("region").select("r_name").collect()]
-    for name in segments:
-        raw.given("nation").join(
-            raw.given("region").filter(c("r_name") == name),
-            c("n_regionkey") == c("r_regionkey"),
-        ).select("n_name").write.text(f"{root}/{name}/output/csv/nations.csv")
-    return readers.states_under(spark, root)
+    """State folders found in the paths of one file per customer, some of them hidden."""
+    files = Raw(spark, sf_dir)["patients"].select(
+        F.concat(
+            F.lit("/data/"),
+            F.when(c("Id").cast("long") % 5 == 0, ".").otherwise(""),
+            "STATE",
+            F.lit("/output/csv/"),
+            "Id",
+        ).alias("path")
+    )
+    return readers.states_of(files)
 
 
 # --- sinks -----------------------------------------------------------------------------
@@ -191,8 +192,6 @@ def snk2_write_and_count(spark, sf_dir):
     """An encounter write whose rows are counted while written, as a run log."""
     path = scratch_path(spark, "sink")
     encounters = Clinic(spark, sf_dir)["encounter"]
-    from pyspark.sql import Observation
-
     seen = Observation()
     counted = encounters.observe(seen, F.count(F.lit(1)).alias("rows"))
     counted.write.mode("overwrite").parquet(path)

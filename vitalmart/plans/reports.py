@@ -149,15 +149,33 @@ def _with_person(claims: DataFrame, beneficiary: DataFrame) -> DataFrame:
     return claims.join(people, "beneficiary_key")
 
 
+def _person_totals(
+    claims: DataFrame, beneficiary: DataFrame, by: Sequence[str], per_claim: Sequence[Column] = ()
+) -> DataFrame:
+    """Totals over personal columns, claims being summed per person before the join.
+
+    A person with very many claims then meets the beneficiaries as a few rows.
+    """
+    return (
+        _with_person(_totals(["beneficiary_key", *per_claim], claims), beneficiary)
+        .groupBy(*by)
+        .agg(
+            F.sum("total_claim_amount").alias("total_claim_amount"),
+            F.sum("claim_count").alias("claim_count"),
+        )
+    )
+
+
 def totals_by_year_state_gender(claims: DataFrame, beneficiary: DataFrame) -> DataFrame:
     dated = claims.filter("claim_start_date is not null")
-    joined = _with_person(dated, beneficiary)
-    return _totals([_year(), "state", "gender"], joined).orderBy("year", "state", "gender")
+    by = ["year", "state", "gender"]
+    return _person_totals(dated, beneficiary, by, [_year()]).orderBy(*by)
 
 
 def totals_by_state(claims: DataFrame, beneficiary: DataFrame) -> DataFrame:
-    located = _with_person(claims, beneficiary.filter("state is not null"))
-    return _totals(["state"], located).orderBy(F.desc("total_claim_amount"), "state")
+    located = beneficiary.filter("state is not null")
+    totals = _person_totals(claims, located, ["state"])
+    return totals.orderBy(F.desc("total_claim_amount"), "state")
 
 
 def totals_in_year(claims: DataFrame, beneficiary: DataFrame, year: int) -> DataFrame:
@@ -331,11 +349,17 @@ def claim_summary(
     people = beneficiary.select("beneficiary_key", c("sp_state_code").alias("state"))
     if state is not None and state.strip():
         people = people.filter(c("state") == state)
-    claims = _both(outpatient, inpatient, "beneficiary_key", "clm_pmt_amt")
+    per_person = (
+        _both(outpatient, inpatient, "beneficiary_key", "clm_pmt_amt")
+        .groupBy("beneficiary_key")
+        .agg(F.count("*").alias("claim_count"), F.sum("clm_pmt_amt").alias("total_amount"))
+    )
     return (
-        claims.join(people, "beneficiary_key")
+        per_person.join(people, "beneficiary_key")
         .groupBy("state")
-        .agg(F.count("*").alias("claim_count"), F.sum("clm_pmt_amt").alias("total_amount"))
+        .agg(
+            F.sum("claim_count").alias("claim_count"), F.sum("total_amount").alias("total_amount")
+        )
     )
 
 

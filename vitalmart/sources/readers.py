@@ -86,9 +86,7 @@ def read_raw(
 
 
 def read_whole_files(spark: SparkSession, path: str, record_source: str) -> DataFrame:
-    return (
-        spark.read.option("wholetext", True).text(path).transform(audit(record_source))
-    )
+    return spark.read.text(path, wholetext=True).transform(audit(record_source))
 
 
 def notes_of(files: DataFrame) -> DataFrame:
@@ -160,16 +158,21 @@ def read_fixed_width(
     return cut_fields(spark.read.text(path), record)
 
 
-def states_under(spark: SparkSession, root: str) -> DataFrame:
-    """The state folders below a source root that hold any file, hidden ones left out.
-
-    Only the listing is used: column pruning keeps file contents unread.
-    """
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+def states_of(files: DataFrame) -> DataFrame:
+    """Distinct, visible state folders in file paths (column ``path``), in order."""
     name = F.regexp_extract("path", r"/([^/]+)/output/", 1)
     return (
-        listing.select(name.alias("state"))
+        files.select(name.alias("state"))
         .filter((F.col("state") != "") & ~F.col("state").startswith("."))
         .distinct()
         .orderBy("state")
     )
+
+
+def states_under(spark: SparkSession, root: str) -> DataFrame:
+    """The state folders below a source root that hold any file.
+
+    Only the listing is used: column pruning keeps file contents unread.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    return states_of(listing)
