@@ -1,7 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
-Each query runs once unmeasured, so JIT and file listing are warm, then twice measured,
-from plan building to the last result row; the better time counts.
+Each query runs once unmeasured, so JIT and file listing are warm, then once measured,
+from plan building to the last result row.
 """
 
 from __future__ import annotations
@@ -54,12 +54,10 @@ def main() -> None:
     spark = local_session(cpus, "bench")
     took: dict[str, float] = {}
     for name in HEADLINE:
-        times = []
-        for _ in range(3):
+        for _ in range(2):
             began = time.monotonic()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            times.append(time.monotonic() - began)
-        took[name] = round(min(times[1:]), 3)
+            took[name] = round(time.monotonic() - began, 3)
     print(
         json.dumps(
             {

@@ -55,23 +55,25 @@ def or_false(value: str | Column) -> Column:
     return F.coalesce(_column(value), F.lit(False))
 
 
-def _quotient(part: Column, whole: Column) -> Column:
-    """``part / whole`` of two-place amounts at two places.
-
-    Both sides become whole numbers before they become doubles, so a quotient lying
-    exactly between two results is seen as such and rounds up.
-    """
-    return F.round((part * 100).cast("double") / (whole * 100).cast("double"), 2)
+def _cents(amount: Column) -> Column:
+    """A two-place amount, or a count, as a whole-numbered double."""
+    return (amount * 100).cast("double")
 
 
 def pct(part: Column, whole: Column) -> Column:
-    """Percentage to two places, 0 when there is no positive whole."""
-    return F.when(whole > 0, _quotient(part * 100, whole)).otherwise(F.lit(0.0))
+    """Percentage to two places, 0 when there is no positive whole.
+
+    Both sides become whole numbers before they are divided, so a quotient lying exactly
+    between two results is seen as such and rounds up.
+    """
+    rate = F.round(_cents(part) * F.lit(100.0) / _cents(whole), 2)
+    return F.when(whole > 0, rate).otherwise(F.lit(0.0))
 
 
 def per_head(amount: Column, heads: Column) -> Column:
     """Amount per head to two places, with at least one head."""
-    return _quotient(or_zero(amount), F.greatest(or_zero(heads), F.lit(1)))
+    at_least_one = F.greatest(or_zero(heads), F.lit(1))
+    return F.round(_cents(or_zero(amount)) / _cents(at_least_one), 2)
 
 
 def count_where(flag: str | Column) -> Column:
