@@ -51,7 +51,8 @@ class Clinic:
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Result with decimals as doubles, arrays as text and no load times, for comparison."""
+    """Result for comparison: decimals as doubles, arrays as text, timestamps by the wall
+    clock of the session, and no load times."""
     out = []
     for field in df.schema.fields:
         if field.name in ("_load_dts", "_file_name"):
@@ -59,6 +60,8 @@ def plain(df: DataFrame) -> DataFrame:
         column = c(f"`{field.name}`")
         if isinstance(field.dataType, T.DecimalType):
             column = column.cast("double")
+        elif isinstance(field.dataType, T.TimestampType):
+            column = column.cast("timestamp_ntz")
         elif isinstance(field.dataType, T.ArrayType):
             column = F.array_join(column, ",")
         elif isinstance(field.dataType, T.NullType):
