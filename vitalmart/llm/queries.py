@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalmart.llm import bpe, decontaminate, quality, token_files
+from vitalmart.llm import bpe, decontaminate, fingerprint, lines, quality, secrets, token_files, urls
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -22,6 +22,18 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.op2_bpe(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.op4_line_dedup(_table(spark, sf_dir, "documents"))
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.op5_secrets(_table(spark, sf_dir, "documents"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.op6_url_filter(_table(spark, sf_dir, "pages"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.op7_decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -30,5 +42,21 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op8_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_bpe, op7_decontaminate, op8_quality)}
-ORACLE: dict[str, str] = {}
+def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.op10_fingerprint(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_files,
+        op2_bpe,
+        op4_line_dedup,
+        op5_secrets,
+        op6_url_filter,
+        op7_decontaminate,
+        op8_quality,
+        op10_fingerprint,
+    )
+}
+ORACLE: dict[str, str] = {"op4_line_dedup": lines.OP4_SQL, "op5_secrets": secrets.OP5_SQL}
