@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalmart.llm import bpe, decontaminate, fingerprint, lines, quality, secrets, token_files, urls
+from vitalmart.llm import bpe, decontaminate, fingerprint, lines, ngram_join, quality, secrets, token_files, urls
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -42,6 +42,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op8_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.op9_ngram_join(_table(spark, sf_dir, "documents"))
+
+
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.op10_fingerprint(_table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES = {
         op6_url_filter,
         op7_decontaminate,
         op8_quality,
+        op9_ngram_join,
         op10_fingerprint,
     )
 }
