@@ -23,11 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitalmart.llm.common import slices
+from vitalmart.llm.common import slices, texts
 
 #: Fixed value: the pattern that splits text before merges in byte-level vocabularies.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-TABLE_WORDS = 400_000
+TABLE_WORDS = 250_000
+PAIRS = 300_000
+BYTES = [bytes([b]) for b in range(256)]
 NEVER = 1 << 62
 
 
@@ -74,6 +76,7 @@ class Merges:
         self.bytes_of: dict[int, bytes] = {
             i: as_bytes(t) for t, i in vocab.items() if t not in self.special
         }
+        self.packed: dict[int, bytes] = {i: np.array([i], "<u4").tobytes() for i in self.bytes_of}
         self.rank: dict[int, int] = {vocab[c]: -1 for c in letters if c in vocab}
         self.split: dict[int, tuple[int, int]] = {}
         self.pair_rank: dict[tuple[int, int], int] = {}
@@ -91,7 +94,7 @@ class Merges:
                 made.add(token)
         self.token_of = {self.bytes_of[t]: t for t in made}
         self.longest = max(map(len, self.token_of))
-        self._known: dict[tuple[int, int], bool] = {}
+        self.known: dict[int, bool] = {}
 
     def compatible(self, left: int, right: int, before: int = NEVER) -> bool:
         """Whether no merge of a rank under ``before`` joins the two across their border.
@@ -113,13 +116,12 @@ class Merges:
             else:
                 return True
 
-    def fits(self, left: int, right: int) -> bool:
-        known = self._known.get((left, right))
-        if known is None:
-            if len(self._known) > 1_000_000:
-                self._known.clear()
-            known = self._known[left, right] = self.compatible(left, right)
-        return known
+    def learn_pair(self, pair: int) -> bool:
+        """Whether the two tokens of a packed pair may follow each other; kept in a bounded table."""
+        if len(self.known) > PAIRS:
+            self.known.clear()
+        found = self.known[pair] = self.compatible(pair >> 20, pair & 0xFFFFF)
+        return found
 
 
 class Trie:
@@ -136,35 +138,45 @@ class Trie:
                 node = child
             node[None] = None
 
-    def encode(self, merges: Merges) -> Iterator[tuple[bytes, list[int]]]:
-        """Every word with its ids, depth first."""
-        path = bytearray()
+    def encode(self, merges: Merges) -> Iterator[tuple[bytes, bytes]]:
+        """Every word with its packed ids, depth first."""
+        path = b""
         last: list[int] = [-1]
-        token_of, fits, bytes_of = merges.token_of, merges.fits, merges.bytes_of
-        longest = merges.longest
-        stack = [(self.root, 0, -1)]
+        token_of, bytes_of, known = merges.token_of, merges.bytes_of, merges.known
+        longest, packed = merges.longest, merges.packed
+        stack = [(self.root, 0, b"")]
         while stack:
             node, depth, byte = stack.pop()
             if depth:
-                del path[depth - 1 :]
+                path = path[: depth - 1] + byte
                 del last[depth:]
-                path.append(byte)
-                for start in range(max(0, depth - longest), depth):
-                    token = token_of.get(bytes(path[start:]))
-                    if token is not None and (not start or fits(last[start], token)):
+                # short tokens first: exactly one fits, and it is a short one most often
+                for start in range(depth - 1, max(0, depth - longest) - 1, -1):
+                    token = token_of.get(path[start:])
+                    if token is None:
+                        continue
+                    if not start:
+                        last.append(token)
+                        break
+                    pair = last[start] << 20 | token
+                    fits = known.get(pair)
+                    if fits is None:
+                        fits = merges.learn_pair(pair)
+                    if fits:
                         last.append(token)
                         break
                 else:
-                    raise ValueError(f"the vocabulary lacks byte {byte}")
+                    raise ValueError(f"the vocabulary lacks byte {byte!r}")
             for b, child in node.items():
                 if b is not None:
-                    stack.append((child, depth + 1, b))
+                    stack.append((child, depth + 1, BYTES[b]))
                 else:
                     ids, at = [], depth
                     while at:
-                        ids.append(last[at])
+                        ids.append(packed[last[at]])
                         at -= len(bytes_of[last[at]])
-                    yield bytes(path), ids[::-1]
+                    ids.reverse()
+                    yield path, b"".join(ids)
 
 
 class Codec:
@@ -184,7 +196,8 @@ class Codec:
             self.decoded[i] = b
         for t, i in self.merges.special.items():
             self.decoded[i] = t.encode()
-        self.table: dict[str, bytes] = {}
+        self.table: dict[str, bytes] = {}  # of units
+        self.words: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> Codec:
@@ -195,13 +208,18 @@ class Codec:
 
     def learn(self, units: set[str]) -> None:
         """Puts the ids of new units into the table, by one walk of one trie."""
-        if len(self.table) > TABLE_WORDS:
-            self.table.clear()
-        words = {u: [w.encode() for w in self.pattern.findall(u)] for u in units}
-        distinct = {w for ws in words.values() for w in ws}
-        ids = {w: np.array(i, "<u4").tobytes() for w, i in Trie(distinct).encode(self.merges)}
+        words, known = {}, self.words
+        for u in units:
+            words[u] = self.pattern.findall(u)
+        fresh = {w for ws in words.values() for w in ws if w not in known}
+        if len(known) > TABLE_WORDS:
+            known.clear()
+            fresh = {w for ws in words.values() for w in ws}
+        for w, ids in Trie({w.encode() for w in fresh}).encode(self.merges):
+            known[w.decode()] = ids
+        get = known.__getitem__
         for u, ws in words.items():
-            self.table[u] = b"".join([ids[w] for w in ws])
+            self.table[u] = b"".join(map(get, ws))
 
     def pieces(self, text: str) -> list[str]:
         """Units of the text, special tokens as pieces of their own."""
@@ -222,6 +240,7 @@ class Codec:
         for p in pieces:
             new.update(u for u in p if u not in known and u not in self.special_ids)
         if len(known) > TABLE_WORDS:  # the table starts anew: all units of this batch are new
+            known.clear()
             new = {u for p in pieces for u in p if u not in self.special_ids}
         if new:
             self.learn(new)
@@ -257,7 +276,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(tokenizer)
         for whole in batches:
-            for batch in slices(whole, "__text"):
+            for batch in slices(whole, "__text", 2 << 20):
                 ids = codec.encode(batch.column("__text").to_pylist())
                 columns = [batch.column(c) for c in names] + [pa.array(ids, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, [*names, "ids"])
@@ -286,9 +305,31 @@ def decode(df: DataFrame, tokenizer: str, *, ids_col: str = "ids") -> DataFrame:
     return frame.mapInArrow(run, schema)
 
 
+def round_trip(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id``, ``ids`` and ``decoded`` as `encode` and then `decode` give them, in one pass.
+
+    One Python worker a task does both, which halves the memory of a task. The text is decoded
+    from the packed ids alone.
+    """
+    frame = texts(docs, id_col, text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec.of(tokenizer)
+        for whole in batches:
+            for batch in slices(whole, most=2 << 20):
+                ids = codec.encode(batch.column("text").to_pylist())
+                out = [codec.decode(x) for x in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(out, pa.string())], ["doc_id", "ids", "decoded"]
+                )
+
+    fields = [T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())]
+    return frame.mapInArrow(run, T.StructType([frame.schema["doc_id"], *fields]))
+
+
 def op2_bpe(docs: DataFrame, tokenizer: str) -> DataFrame:
     """The digest of the contract: ids by the trie, then text from these ids."""
-    coded = decode(encode(docs, tokenizer), tokenizer)
+    coded = round_trip(docs, tokenizer)
     return coded.select(
         "doc_id",
         F.expr("cast(octet_length(ids) div 4 as long)").alias("n_tokens"),

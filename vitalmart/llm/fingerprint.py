@@ -173,7 +173,8 @@ def in_order(frame: DataFrame, bucket_text_bytes: int = BUCKET_TEXT_BYTES) -> Da
         return spark.createDataFrame([], schema)
     before = [(heads[i - 1][0], b, head) for i, (b, head) in enumerate(heads)]
     lead = spark.createDataFrame(before, "to bigint, at bigint, head bigint")
-    copies = placed.join(lead, (placed["bucket"] == lead["at"]) & placed["doc_id"].eqNullSafe(lead["head"]))
+    # one row of 24 bytes for each bucket of bucket_text_bytes
+    copies = placed.join(F.broadcast(lead), (placed["bucket"] == lead["at"]) & placed["doc_id"].eqNullSafe(lead["head"]))
     copies = copies.groupBy("to").agg(F.first("doc_id").alias("doc_id"), F.min("text").alias("text"))
     rows = placed.unionByName(copies.select(F.col("to").alias("bucket"), F.lit(True).alias("copy"), "doc_id", "text"))
     return rows.repartition(len(heads), "bucket").sortWithinPartitions("bucket", "copy", F.desc_nulls_last("doc_id"), "text")
