@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalmart.llm import bpe, decontaminate, fingerprint, lines, ngram_join, quality, secrets, token_files, urls
+from vitalmart.llm import bpe, decontaminate, fingerprint, lines, ngram_join, quality, repeats, secrets, token_files, urls
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -22,6 +22,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.op2_bpe(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.op3_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.op4_line_dedup(_table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES = {
     for f in (
         op1_token_files,
         op2_bpe,
+        op3_repeats,
         op4_line_dedup,
         op5_secrets,
         op6_url_filter,
