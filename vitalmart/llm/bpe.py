@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalmart.llm.common import slices, texts
+from vitalmart.llm.pieces import PieceTable
 
 #: Fixed value: the pattern that splits text before merges in byte-level vocabularies.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-TABLE_WORDS = 250_000
 PAIRS = 300_000
 BYTES = [bytes([b]) for b in range(256)]
 NEVER = 1 << 62
@@ -40,28 +40,6 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def units_of(text: str) -> list[str]:
-    """The text cut before single spaces that a non-space follows; pieces encode alone.
-
-    A token never spans such a cut, whatever stands around it.
-    """
-    parts = text.split(" ")
-    out = parts[:1]
-    for p in parts[1:]:
-        if not p or p[0].isspace():
-            break
-        out.append(" " + p)
-    else:
-        return out if out[0] else out[1:]
-    out = parts[:1]
-    for p in parts[1:]:
-        if not p or p[0].isspace():
-            out[-1] += " " + p
-        else:
-            out.append(" " + p)
-    return out if out[0] else out[1:]
-
-
 class Merges:
     """Vocabulary and merges of a byte-level BPE file."""
 
@@ -180,7 +158,7 @@ class Trie:
 
 
 class Codec:
-    """Encodes and decodes batches of texts; holds a bounded table of known units."""
+    """Encodes and decodes batches of texts; holds a bounded table of known pieces."""
 
     _open: dict[str, Codec] = {}
 
@@ -196,8 +174,7 @@ class Codec:
             self.decoded[i] = b
         for t, i in self.merges.special.items():
             self.decoded[i] = t.encode()
-        self.table: dict[str, bytes] = {}  # of units
-        self.words: dict[str, bytes] = {}
+        self.table = PieceTable(self.learn, special)
 
     @classmethod
     def of(cls, path: str) -> Codec:
@@ -206,49 +183,35 @@ class Codec:
             cls._open[path] = cls(path)
         return cls._open[path]
 
-    def learn(self, units: set[str]) -> None:
-        """Puts the ids of new units into the table, by one walk of one trie."""
-        words, known = {}, self.words
-        for u in units:
-            words[u] = self.pattern.findall(u)
-        fresh = {w for ws in words.values() for w in ws if w not in known}
-        if len(known) > TABLE_WORDS:
-            known.clear()
-            fresh = {w for ws in words.values() for w in ws}
-        for w, ids in Trie({w.encode() for w in fresh}).encode(self.merges):
-            known[w.decode()] = ids
-        get = known.__getitem__
-        for u, ws in words.items():
-            self.table[u] = b"".join(map(get, ws))
-
-    def pieces(self, text: str) -> list[str]:
-        """Units of the text, special tokens as pieces of their own."""
+    def words(self, text: str) -> list[str]:
+        """What merges apply to: matches of the pattern, and special tokens."""
         if self.special is None or not self.special.search(text):
-            return units_of(text)
+            return self.pattern.findall(text)
         out, at = [], 0
         for m in self.special.finditer(text):
-            out += units_of(text[at : m.start()])
+            out += self.pattern.findall(text[at : m.start()])
             out.append(m[0])
             at = m.end()
-        return out + units_of(text[at:])
+        return out + self.pattern.findall(text[at:])
+
+    def learn(self, pieces: list[str]) -> list[bytes]:
+        """Packed ids of each piece, by one walk of one trie of their new words."""
+        words = [self.words(p) for p in pieces]
+        ids = dict(self.special_ids)
+        for w in {w for ws in words for w in ws}.difference(ids):
+            if w[0] == " ":
+                found = self.table.known(w[1:].encode())
+                if found is not None:
+                    ids[w] = found
+        fresh = {w.encode() for ws in words for w in ws if w not in ids}
+        for w, packed in Trie(fresh).encode(self.merges):
+            ids[w.decode()] = packed
+        get = ids.__getitem__
+        return [b"".join(map(get, ws)) for ws in words]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, packed as little-endian unsigned 32-bit integers."""
-        pieces = [self.pieces(t) for t in texts]
-        known = self.table
-        new = set()
-        for p in pieces:
-            new.update(u for u in p if u not in known and u not in self.special_ids)
-        if len(known) > TABLE_WORDS:  # the table starts anew: all units of this batch are new
-            known.clear()
-            new = {u for p in pieces for u in p if u not in self.special_ids}
-        if new:
-            self.learn(new)
-        table = self.table
-        if any(s in p for s in self.special_ids for p in pieces):
-            table = table | self.special_ids
-        get = table.__getitem__
-        return [b"".join(map(get, p)) for p in pieces]
+        return self.table.encode(texts)
 
     def decode(self, ids: bytes) -> str:
         get = self.decoded.__getitem__

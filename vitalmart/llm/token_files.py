@@ -13,6 +13,7 @@ only files in the manifest count, so a task that runs twice does no harm.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -24,8 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from vitalmart.llm.bpe import TABLE_WORDS, units_of
 from vitalmart.llm.common import parts_for, shared_path, slices, stored, text_bytes, texts
+from vitalmart.llm.pieces import PieceTable
 
 LENGTH = 2048
 ROWS = 64
@@ -38,46 +39,36 @@ def _opened(path: str) -> tuple[fs.FileSystem, str]:
 
 
 class LibraryEncoder:
-    """The tokenizers library with a bounded table of text pieces it has encoded.
-
-    Pieces begin before single spaces and never share a token with what stands around them,
-    so the ids of a text are those of its pieces. Texts that hold a special token's string are
-    handed over whole.
-    """
+    """The tokenizers library behind a bounded table of pieces it has encoded."""
 
     _open: dict[str, LibraryEncoder] = {}
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.table: dict[str, bytes] = {}
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.kind = id_kind(self.tokenizer.get_vocab_size(with_added_tokens=True))
+        self.table = PieceTable(self._library, special)
 
     @classmethod
     def of(cls, path: str) -> LibraryEncoder:
+        """One per worker process and file."""
         if path not in cls._open:
             cls._open[path] = cls(path)
         return cls._open[path]
 
-    def _library(self, parts: list[str], kind: str) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(x.ids, kind).tobytes() for x in found]
+    def _library(self, parts: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for at in range(0, len(parts), 20_000):  # the library's results are large while they last
+            found = self.tokenizer.encode_batch_fast(parts[at : at + 20_000], add_special_tokens=False)
+            out += [np.array(x.ids, self.kind).tobytes() for x in found]
+        return out
 
-    def encode(self, parts: list[str], kind: str) -> list[bytes]:
+    def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
-        if len(self.table) > TABLE_WORDS:
-            self.table.clear()
-        whole = [any(s in t for s in self.special) for t in parts]
-        units = [[] if w else units_of(t) for t, w in zip(parts, whole, strict=True)]
-        new = list({u for us in units for u in us if u not in self.table})
-        self.table.update(zip(new, self._library(new, kind), strict=True))
-        get = self.table.__getitem__
-        return [
-            self._library([t], kind)[0] if w else b"".join(map(get, us))
-            for t, w, us in zip(parts, whole, units, strict=True)
-        ]
+        return self.table.encode(texts)
 
 
 def id_kind(vocabulary: int) -> str:
@@ -204,17 +195,17 @@ def write_tokens(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = LibraryEncoder.of(tokenizer)
-        kind = id_kind(max(encoder.size, (end_id or 0) + 1))
+        kind = encoder.kind  # an end id beyond it fails loudly
         end = b"" if end_id is None else np.array([end_id], kind).tobytes()
         part = TaskContext.get().partitionId()
         file = f"{folder}/part-{part:07d}-{uuid.uuid4().hex}.arrows"
         out = None
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, most=2 << 20):
                 if out is None and batch.num_rows:
                     out = SequenceWriter(file, kind, length, rows)
                 at, n = [], []
-                for ids in encoder.encode(batch.column("text").to_pylist(), kind):
+                for ids in encoder.encode(batch.column("text").to_pylist()):
                     ids = np.frombuffer(ids + end, kind)
                     at.append(out.total)
                     n.append(len(ids))
