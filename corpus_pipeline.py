@@ -5,20 +5,60 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalmart.llm import bpe, decontaminate, quality
+from vitalmart.llm import bpe, decontaminate, lines, ngram_join, quality
 from vitalmart.llm.common import stored
 from vitalmart.llm.queries import TOKENIZER
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the quality classifier scores below its threshold."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    net = quality.fit(*quality.sample(docs, labels))
-    scored = quality.score(docs, net, carry=tuple(docs.columns))
-    return scored.where(F.col("score") >= quality.THRESHOLD).select(docs.columns)
+    """Drops documents that the quality classifier scores below its threshold.
 
+    The network is fitted on labelled rows of ``docs``. NULL texts score as empty ones; the
+    columns are those of ``docs``.
+    """
+    net = quality.fit(*quality.sample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return quality.keep_good(docs, net)
 
-STAGES = [("quality", classify)]
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes boilerplate lines out of the texts and counts their characters anew.
+
+    Every document stays; one that had nothing but boilerplate has an empty text.
+    """
+    out = lines.drop_boilerplate(docs, n_lines="__n_lines", n_removed="__n_removed")
+    n_chars = F.when(F.col("__n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", n_chars).select(docs.columns)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the smallest id of each group of near-duplicates, once.
+
+    Five-word shingles, four fifths in common. Documents without words are in no group and
+    stay, as do those without an id.
+    """
+    found = ngram_join.join(docs).where(F.col("doc_id") != F.col("component_id"))
+    left = docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents of which a twentieth of the words or more are benchmark passages."""
+    return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each text left, packed as little-endian unsigned 32-bit integers."""
+    coded = bpe.encode(docs, TOKENIZER, carry=("lang", "source"))
+    return coded.select("doc_id", "lang", "source", F.expr("cast(octet_length(ids) div 4 as long)").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("quality", classify),
+    ("line_dedup", dedup_lines),
+    ("ngram_jaccard", one_of_each),
+    ("decontaminate", decontaminated),
+    ("bpe", encoded),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,5 +69,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: The classifier is a fitted network, which SQL cannot express.
+#: The classifier is a fitted network and the groups are graph components: no SQL for these.
 ORACLE_SQL = None

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitalmart.llm.common import slices, texts
+from vitalmart.llm.common import computed, named, slices
 from vitalmart.llm.pieces import PieceTable
 
 #: Fixed value: the pattern that splits text before merges in byte-level vocabularies.
@@ -227,25 +227,16 @@ def encode(
     ``ids``, the token ids packed as little-endian unsigned 32-bit integers. The file must be
     at the same path on every executor. NULL and empty texts have no ids; strings of special
     tokens inside a text become these tokens; equal texts get equal ids; an empty table gives
-    an empty result. Columns not named in ``carry`` are left behind, so none can clash.
+    an empty result. Columns not in ``carry`` are left out, and so are those in it that are
+    named like the new ones.
     """
-    frame = docs.select(
-        F.col(id_col).alias("doc_id"),
-        *[c for c in carry if c != id_col],
-        F.coalesce(F.col(text_col), F.lit("")).alias("__text"),
-    )
-    names = [c for c in frame.columns if c != "__text"]
+    columns = (id_col, *[c for c in carry if c != id_col])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec.of(tokenizer)
-        for whole in batches:
-            for batch in slices(whole, "__text", 2 << 20):
-                ids = codec.encode(batch.column("__text").to_pylist())
-                columns = [batch.column(c) for c in names] + [pa.array(ids, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, [*names, "ids"])
+    def run(batch: list[str]):
+        return [pa.array(Codec.of(tokenizer).encode(batch), pa.binary())]
 
-    schema = frame.drop("__text").schema.add("ids", "binary")
-    return frame.mapInArrow(run, schema)
+    coded = computed(docs, columns, text_col, [T.StructField("ids", T.BinaryType())], run, 2 << 20)
+    return coded.select(F.col("c0").alias("doc_id"), *named(columns, ("doc_id", id_col, "ids")), "ids")
 
 
 def decode(df: DataFrame, tokenizer: str, *, ids_col: str = "ids") -> DataFrame:
@@ -274,20 +265,14 @@ def round_trip(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_
     One Python worker a task does both, which halves the memory of a task. The text is decoded
     from the packed ids alone.
     """
-    frame = texts(docs, id_col, text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batch: list[str]):
         codec = Codec.of(tokenizer)
-        for whole in batches:
-            for batch in slices(whole, most=2 << 20):
-                ids = codec.encode(batch.column("text").to_pylist())
-                out = [codec.decode(x) for x in ids]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(out, pa.string())], ["doc_id", "ids", "decoded"]
-                )
+        ids = codec.encode(batch)
+        return [pa.array(ids, pa.binary()), pa.array([codec.decode(x) for x in ids], pa.string())]
 
     fields = [T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())]
-    return frame.mapInArrow(run, T.StructType([frame.schema["doc_id"], *fields]))
+    return computed(docs, (id_col,), text_col, fields, run, 2 << 20).withColumnRenamed("c0", "doc_id")
 
 
 def op2_bpe(docs: DataFrame, tokenizer: str) -> DataFrame:

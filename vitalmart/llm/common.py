@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_ID = 2**63 - 1
 
@@ -40,6 +41,44 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     )
 
 
+def placed(docs: DataFrame, columns: Sequence[str], text_col: str) -> tuple[DataFrame, str]:
+    """The columns named by their places (``c0``, ``c1``, ...), so that none can clash, with
+    the text behind them unless it is one of them; and the name the text has."""
+    named = [F.col(f"`{c}`").alias(f"c{n}") for n, c in enumerate(columns)]
+    if text_col in columns:
+        return docs.select(*named), f"c{list(columns).index(text_col)}"
+    return docs.select(*named, F.col(f"`{text_col}`").alias("t")), "t"
+
+
+def named(columns: Sequence[str], taken: Sequence[str] = ()) -> list[Column]:
+    """Back from places to names, without columns whose names are taken."""
+    return [F.col(f"c{n}").alias(c) for n, c in enumerate(columns) if c not in taken]
+
+
+def computed(
+    docs: DataFrame,
+    columns: Sequence[str],
+    text_col: str,
+    fields: Sequence[T.StructField],
+    compute: Callable[[list[str]], Sequence[pa.Array]],
+    most: int = 4 << 20,
+) -> DataFrame:
+    """Columns by place and behind them ``fields``, which ``compute`` makes of runs of texts.
+
+    NULL texts are empty for ``compute``. A map over Arrow batches: nothing is shuffled.
+    """
+    frame, text = placed(docs, columns, text_col)
+    kept = [f"c{n}" for n in range(len(columns))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, text, most):
+                found = compute([x or "" for x in batch.column(text).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *found], [*kept, *[f.name for f in fields]])
+
+    return frame.mapInArrow(run, T.StructType([*frame.select(*kept).schema, *fields]))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name like ``name`` that the frame does not have, upper and lower case alike."""
     taken = {c.lower() for c in df.columns}

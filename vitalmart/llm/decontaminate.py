@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalmart.llm.common import slices
+from vitalmart.llm.common import named, placed, slices
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
@@ -112,6 +112,32 @@ def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
+EMPTY_SPANS = "array<struct<start:bigint,end:bigint>>"
+
+
+def _searched(docs: DataFrame, items: DataFrame, columns: tuple[str, ...], text_col: str, window: int, block_bytes: int) -> DataFrame:
+    """Columns by place, then ``n_words``, ``spans`` and ``items``: one map a block of items."""
+    frame, text = placed(docs, columns, text_col)
+    frame = frame.select(
+        "*",
+        F.lit(0).cast("long").alias("n_words"),
+        F.lit(None).cast(EMPTY_SPANS).alias("spans"),
+        F.lit(None).cast("array<string>").alias("items"),
+    )
+    bench = items.where(F.length("text") > 0).select(F.col("item_id").cast("string"), "text")
+
+    def search(block):
+        patterns: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
+        for item, body in block:
+            for w in windows_of(body, window):
+                patterns[w].update(() if item is None else (item,))
+        return _searcher(dict(patterns), text)
+
+    for block in [search(b) for b in _item_blocks(bench, block_bytes)] or [_searcher({}, text)]:
+        frame = frame.mapInArrow(block, frame.schema)
+    return frame
+
+
 def find_items(
     docs: DataFrame,
     items: DataFrame,
@@ -120,60 +146,39 @@ def find_items(
     text_col: str = "text",
     window: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
-    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Where windows of benchmark items (``item_id``, ``text``) occur in each document.
 
-    Returns one row per row of ``docs``: ``doc_id``, the columns named in ``carry``,
-    ``n_words``, ``spans`` (disjoint word ranges that windows cover, end exclusive, in
-    order) and ``items`` (ids as text of the items with occurring windows, sorted, each
-    once). A window is ``window`` consecutive words of an item; a shorter item with words is
-    one window. NULL or empty texts have no words. Items without words or text match
-    nothing; items with a NULL id match but are not listed; equal items and repeated rows
-    count once in ``items``. Without items or documents the result has no matches or rows.
+    Returns one row per row of ``docs``: ``doc_id``, ``n_words``, ``spans`` (disjoint word
+    ranges that windows cover, end exclusive, in order) and ``items`` (ids as text of the
+    items with occurring windows, sorted, each once). A window is ``window`` consecutive words
+    of an item; a shorter item with words is one window. NULL or empty texts have no words.
+    Items without words or text match nothing; items with a NULL id match but are not listed;
+    equal items and repeated rows count once in ``items``. Without items or documents the
+    result has no matches or rows. Other columns are left out.
     """
-    kept = [c for c in carry if c != id_col]
-    frame = docs.select(
-        F.col(id_col),
-        *[F.col(c) for c in kept],
-        F.col(text_col).alias("__text"),
-        F.lit(0).cast("long").alias("__n_words"),
-        F.lit(None).cast("array<struct<start:bigint,end:bigint>>").alias("__spans"),
-        F.array().cast("array<string>").alias("__items"),
-    )
-    bench = items.where(F.length("text") > 0).select(
-        F.col("item_id").cast("string"), F.col("text")
-    )
+    found = _searched(docs, items, (id_col,), text_col, window, block_bytes)
+    return found.select(F.col("c0").alias("doc_id"), "n_words", "spans", F.array_sort("items").alias("items"))
 
-    def search(block):
-        patterns: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
-        for item, text in block:
-            for w in windows_of(text, window):
-                patterns[w].update(() if item is None else (item,))
-        return _searcher(dict(patterns))
 
-    blocks = [search(b) for b in _item_blocks(bench, block_bytes)] or [_searcher({})]
-    for block in blocks:
-        frame = frame.mapInArrow(block, frame.schema)
-    return frame.select(
-        F.col(id_col).alias("doc_id"),
-        *kept,
-        F.col("__n_words").alias("n_words"),
-        F.coalesce("__spans", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("spans"),
-        F.array_sort("__items").alias("items"),
-    )
+def keep_clean(
+    docs: DataFrame, items: DataFrame, *, text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns."""
+    found = _searched(docs, items, tuple(docs.columns), text_col, window, block_bytes)
+    return found.where(~is_contaminated(n_hit(), F.col("n_words"))).select(*named(docs.columns))
 
 
-def _searcher(patterns: dict[tuple[bytes, ...], set[str]]):
+def _searcher(patterns: dict[tuple[bytes, ...], set[str]], text_name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         engine = WuManber(patterns)
         for whole in batches:
-            for batch in slices(whole, "__text"):
+            for batch in slices(whole, text_name):
                 n_words, spans, found = [], [], []
                 for text, old_spans, old_items in zip(
-                    batch.column("__text").to_pylist(),
-                    batch.column("__spans").to_pylist(),
-                    batch.column("__items").to_pylist(),
+                    batch.column(text_name).to_pylist(),
+                    batch.column("spans").to_pylist(),
+                    batch.column("items").to_pylist(),
                     strict=True,
                 ):
                     words = words_of(text)
@@ -186,7 +191,7 @@ def _searcher(patterns: dict[tuple[bytes, ...], set[str]]):
                     spans.append([{"start": a, "end": b} for a, b in _joined(hits)])
                     found.append(sorted(names))
                 out = batch
-                for name, values in (("__n_words", n_words), ("__spans", spans), ("__items", found)):
+                for name, values in (("n_words", n_words), ("spans", spans), ("items", found)):
                     k = out.schema.get_field_index(name)
                     out = out.set_column(k, out.schema.field(k), pa.array(values, out.schema.field(k).type))
                 yield out

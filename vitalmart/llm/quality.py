@@ -12,15 +12,15 @@ The network is fitted on the driver on a bounded sample of labelled rows: the fi
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vitalmart.llm.common import slices, texts
+from vitalmart.llm.common import computed, named, texts
 
 WIDTH = 6
 FILTERS = 16
@@ -193,24 +193,26 @@ def sample(docs: DataFrame, labels: DataFrame, *, max_docs: int = MAX_DOCS, max_
     return [r["text"].encode() for r in rows], [r["label"] for r in rows]
 
 
-def score(docs: DataFrame, net: Network, *, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """Probability that a text is of quality 1, from its bytes alone.
+def _scored(docs: DataFrame, net: Network, columns: tuple[str, ...], text_col: str) -> DataFrame:
+    def run(batch: list[str]):
+        return [pa.array(probabilities(net, [t.encode() for t in batch]), pa.float64())]
 
-    Returns one row per row of ``docs``: ``doc_id``, the columns named in ``carry`` and
-    ``score``. NULL texts score as empty ones; equal texts score alike; no row gives no row.
+    return computed(docs, columns, text_col, [T.StructField("score", T.DoubleType())], run, 1 << 20)
+
+
+def score(docs: DataFrame, net: Network, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Probability that a text is of quality 1, from its bytes alone: ``doc_id``, ``score``.
+
+    One row per row of ``docs``. NULL texts score as empty ones; equal texts score alike; no
+    row gives no row; other columns are left out.
     """
-    frame = docs.select(
-        F.col(id_col).alias("doc_id"), *[c for c in carry if c != id_col], F.coalesce(F.col(text_col), F.lit("")).alias("__text")
-    )
-    names = [c for c in frame.columns if c != "__text"]
+    return _scored(docs, net, (id_col,), text_col).select(F.col("c0").alias("doc_id"), "score")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, "__text", 1 << 20):
-                found = probabilities(net, [t.encode() for t in batch.column("__text").to_pylist()])
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(found, pa.float64())], [*names, "score"])
 
-    return frame.mapInArrow(run, frame.drop("__text").schema.add("score", "double"))
+def keep_good(docs: DataFrame, net: Network, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more, with all their columns."""
+    found = _scored(docs, net, tuple(docs.columns), text_col).where(F.col("score") >= threshold)
+    return found.select(*named(docs.columns))
 
 
 def op8_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
