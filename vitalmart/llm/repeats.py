@@ -33,6 +33,7 @@ from vitalmart.llm.common import id_or_last, parts_for, text_bytes, texts
 LENGTH = 50
 K = 20
 BLOCK_BYTES = 4 << 20
+BUCKET_BYTES = 1 << 20  # of all text, for each bucket of anchors
 PIECE = 1 << 19
 HOT_BLOCKS = 2000
 _BASE = 0x9E3779B97F4A7C15
@@ -144,9 +145,10 @@ class SuffixArray:
         sizes = np.array([len(s) for s in strings], np.int64)
         self.data = np.frombuffer(b"".join(strings), np.uint8)
         n = len(self.data)
-        self.owner = np.repeat(np.arange(len(strings)), sizes)
-        self.offset = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        self.left = np.repeat(sizes, sizes) - self.offset
+        place = np.arange(n, dtype=np.int32)
+        self.owner = np.repeat(np.arange(len(strings), dtype=np.int32), sizes)
+        self.offset = place - np.repeat((np.cumsum(sizes) - sizes).astype(np.int32), sizes)
+        self.left = np.repeat(sizes.astype(np.int32), sizes) - self.offset
         padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
         word = np.zeros(n, np.uint64)
         for j in range(8):
@@ -158,19 +160,20 @@ class SuffixArray:
         k = 8
         while k < (sizes.max() if n else 0):
             r = ranks[-1]
-            ahead = np.where(self.left > k, r[np.minimum(np.arange(n) + k, n - 1)] + 1, 0)
-            key = r * (n + 1) + ahead
+            key = r.astype(np.int64) * (n + 1)
+            key += np.where(self.left > k, r[np.minimum(place + k, n - 1)] + 1, 0)
             order = np.argsort(key, kind="stable")
             s = key[order]
             ranks.append(self._ranks(order, s[1:] != s[:-1]))
             k *= 2
-        self.order = order
+        self.order = order.astype(np.int32)
         self.common = self._common(ranks)
 
     @staticmethod
     def _ranks(order: np.ndarray, differ: np.ndarray) -> np.ndarray:
-        out = np.empty(len(order), np.int64)
-        out[order] = np.concatenate([[0], np.cumsum(differ)]) if len(order) else 0
+        out = np.zeros(len(order), np.int32)
+        if len(order):
+            out[order[1:]] = np.cumsum(differ, dtype=np.int32)
         return out
 
     def _common(self, ranks: list[np.ndarray]) -> np.ndarray:
@@ -178,20 +181,20 @@ class SuffixArray:
         n = len(self.data)
         a, b = self.order[:-1], self.order[1:]
         most = np.minimum(self.left[a], self.left[b])
-        done = np.zeros(len(a), np.int64)
+        done = np.zeros(len(a), np.int32)
         for level in range(len(ranks) - 1, -1, -1):
             r, k = ranks[level], 8 << level
             x, y = np.minimum(a + done, n - 1), np.minimum(b + done, n - 1)
-            done += np.where((done + k <= most) & (r[x] == r[y]), k, 0)
+            done += np.where((done + k <= most) & (r[x] == r[y]), np.int32(k), np.int32(0))
         for _ in range(8):
             x, y = np.minimum(a + done, n - 1), np.minimum(b + done, n - 1)
             done += (done < most) & (self.data[x] == self.data[y])
-        return np.concatenate([[0], done]) if n else done
+        return np.concatenate([np.zeros(1, np.int32), done]) if n else done
 
     def before(self) -> np.ndarray:
         """The byte before each suffix in the order; a different negative number at each start."""
         at = self.order
-        return np.where(self.offset[at] > 0, self.data[np.maximum(at - 1, 0)].astype(np.int64), -1 - at)
+        return np.where(self.offset[at] > 0, self.data[np.maximum(at - 1, 0)].astype(np.int32), -1 - at)
 
     def trees(self, least_length: int, ids: np.ndarray) -> list[Interval]:
         """Roots of the interval trees of common prefixes of ``least_length`` or more.
@@ -207,8 +210,9 @@ class SuffixArray:
         if not len(heads):
             return []
         before = self.before()
-        varies = np.zeros(n, np.int64)
-        varies[1:] = np.cumsum(before[1:] != before[:-1])
+        varies = np.zeros(n, np.int32)
+        varies[1:] = np.cumsum(before[1:] != before[:-1], dtype=np.int32)
+        del before
         owner_id = ids[self.owner[self.order]]
         out = []
         for low, high in zip(heads.tolist(), last.tolist(), strict=True):
@@ -325,6 +329,7 @@ def remove_repeats(
     id_col: str = "doc_id",
     text_col: str = "text",
     block_bytes: int = BLOCK_BYTES,
+    bucket_bytes: int = BUCKET_BYTES,
     hot_blocks: int = HOT_BLOCKS,
 ) -> DataFrame:
     """Finds every byte covered by a ``length``-byte string that a smaller id's text holds too.
@@ -340,7 +345,7 @@ def remove_repeats(
     frame = texts(docs, id_col, text_col)
     total = text_bytes(frame)
     n_blocks = parts_for(total, block_bytes)
-    bits = max(4, (n_blocks - 1).bit_length())
+    bits = max(4, (parts_for(total, bucket_bytes) - 1).bit_length())
     blocks = frame.select(
         F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).alias("block"), "doc_id", id_or_last("doc_id").alias("id"), "text"
     )
