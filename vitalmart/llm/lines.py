@@ -32,14 +32,16 @@ def lines_of(text: Column) -> Column:
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, margin: float = MARGIN) -> DataFrame:
     """Keys (``h1``, ``h2``) of lines on ``min_sites`` sites or more, with the smallest id.
 
-    ``lines`` has ``h1``, ``h2``, ``site``, ``id``. NULL sites count as none.
+    ``lines`` has ``h1``, ``h2``, ``site``, ``id``. NULL sites count as none. A line meets each
+    site once before its key is shuffled to one place, however many documents have it.
     """
-    spread = lines.groupBy("h1", "h2").agg(
+    pairs = lines.groupBy("h1", "h2", "site").agg(F.min("id").alias("id"))
+    spread = pairs.groupBy("h1", "h2").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("sites"), F.min("id").alias("first")
     )
     spread = spread.where(F.col("sites") >= min_sites * (1 - margin))
     sure = F.col("sites") >= min_sites * (1 + margin)
-    near = lines.join(spread.where(~sure).select("h1", "h2"), ["h1", "h2"], "left_semi")
+    near = pairs.join(spread.where(~sure).select("h1", "h2"), ["h1", "h2"], "left_semi")
     exact = near.groupBy("h1", "h2").agg(F.count_distinct("site").alias("sites"), F.min("id").alias("first"))
     found = spread.where(sure).unionByName(exact.where(F.col("sites") >= min_sites))
     return found.select("h1", "h2", "first")
