@@ -32,10 +32,11 @@ from vitalmart.llm.common import id_or_last, parts_for, text_bytes, texts
 
 LENGTH = 50
 K = 20
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 3 << 20
 BUCKET_BYTES = 1 << 20  # of all text, for each bucket of anchors
-PIECE = 1 << 19
+PIECE = 1 << 17
 HOT_BLOCKS = 2000
+ALONE = 2**16 - 1  # marks a window of a hot anchor, which is sent by itself
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -86,17 +87,18 @@ def smallest_in_window(values: np.ndarray, width: int) -> np.ndarray:
 
 @dataclass
 class Anchors:
-    """Runs of windows with one anchor: first window, windows, hash."""
+    """Runs of windows with one anchor: first window, windows, hash and place of the anchor."""
 
     first: np.ndarray
     count: np.ndarray
     key: np.ndarray
+    place: np.ndarray
 
 
 def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int) -> Anchors:
     """Anchors of all windows that lie within a document; memory is bounded by ``PIECE``."""
     n = len(data) - length + 1
-    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    parts: list[tuple[np.ndarray, ...]] = []
     k = min(K, length)
     inside = np.zeros(max(n, 0) + 1, np.int32)
     has = ends - starts >= length
@@ -116,10 +118,10 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int)
         if not len(first):
             continue
         number = np.cumsum(new)[inside[at:stop]] - 1
-        parts.append((first + at, np.bincount(number, minlength=len(first)), h[p[first]]))
+        parts.append((first + at, np.bincount(number, minlength=len(first)), h[p[first]], p[first] + at))
     if not parts:
         none = np.empty(0, np.int64)
-        return Anchors(none, none, np.empty(0, np.uint64))
+        return Anchors(none, none, np.empty(0, np.uint64), none)
     return Anchors(*(np.concatenate(x) for x in zip(*parts, strict=True)))
 
 
@@ -381,7 +383,7 @@ def remove_repeats(
     answers = asked.groupBy("bucket").applyInPandas(answer, "block bigint, bucket bigint, shared binary, hot binary")
 
     def cut(group: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        columns = ["block", "bucket", "bytes", "sizes", "least", "piece", "ids", "docs", "starts"]
+        columns = ["block", "bucket", "bytes", "sizes", "anchors", "least", "piece", "ids", "docs", "starts"]
         if group.empty or replies.empty:
             return pd.DataFrame(columns=columns)
         raw, ids, starts, doc, found = anchors_of(group)
@@ -393,16 +395,16 @@ def remove_repeats(
             hot[i:j] = np.unpackbits(np.frombuffer(said["hot"][b], np.uint8), count=j - i)
         place = np.searchsorted(keys, found.key)
         some = np.flatnonzero(shared[place])
-        pieces: dict[int, dict[bytes, list[tuple[int, int]]]] = {}
+        pieces: dict[int, dict[tuple[bytes, int], list[tuple[int, int, int]]]] = {}
         top = 64 - bits
-        for first, count, key, d, alone in zip(
-            found.first[some].tolist(), found.count[some].tolist(), found.key[some].tolist(), doc[some].tolist(), hot[place[some]].tolist(), strict=True
-        ):
+        taken = (found.first, found.count, found.key, found.place, doc, hot[place])
+        for first, count, key, at, d, alone in zip(*(x[some].tolist() for x in taken), strict=True):
             spans = [(w, w + length) for w in range(first, first + count)] if alone else [(first, first + count + length - 1)]
             for a, b in spans:
                 piece = raw[a:b]
                 bucket = (xxhash.xxh3_64_intdigest(piece) if alone else key) >> top
-                pieces.setdefault(bucket, {}).setdefault(piece, []).append((int(ids[d]), d, a - int(starts[d])))
+                mark = (piece, ALONE if alone else at - a)
+                pieces.setdefault(bucket, {}).setdefault(mark, []).append((int(ids[d]), d, a - int(starts[d])))
         block = group["block"].iloc[0]
         rows = []
         for bucket, held in pieces.items():
@@ -411,8 +413,9 @@ def remove_repeats(
                 (
                     block,
                     bucket,
-                    b"".join(held),
-                    np.array([len(p) for p in held], np.uint16).tobytes(),
+                    b"".join([p for p, _ in held]),
+                    np.array([len(p) for p, _ in held], np.uint16).tobytes(),
+                    np.array([a for _, a in held], np.uint16).tobytes(),
                     np.array([min(ps)[0] for ps in held.values()], np.int64).tobytes(),
                     np.repeat(np.arange(len(held), dtype=np.uint32), [len(ps) for ps in held.values()]).tobytes(),
                     np.array([i for i, _, _ in places], np.int64).tobytes(),
@@ -422,18 +425,23 @@ def remove_repeats(
             )
         return pd.DataFrame(rows, columns=columns)
 
-    cut_schema = "block bigint, bucket bigint, bytes binary, sizes binary, least binary, piece binary, ids binary, docs binary, starts binary"
+    cut_schema = "block bigint, bucket bigint, bytes binary, sizes binary, anchors binary, least binary, piece binary, ids binary, docs binary, starts binary"
     pieces = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(cut, cut_schema)
 
     def match(rows: pd.DataFrame) -> pd.DataFrame:
         number: dict[bytes, int] = {}
         least: list[int] = []
+        of_anchor: dict[bytes, list[int]] = {}
         of_row = []
-        for raw, sizes, low in zip(rows["bytes"], rows["sizes"], rows["least"], strict=True):
+        packed = ((rows["sizes"], np.uint16), (rows["anchors"], np.uint16), (rows["least"], np.int64))
+        for raw, *packs in zip(rows["bytes"], *(c for c, _ in packed), strict=True):
             at, mine = 0, []
-            for size, i in zip(np.frombuffer(sizes, np.uint16).tolist(), np.frombuffer(low, np.int64).tolist(), strict=True):
-                k = number.setdefault(raw[at : at + size], len(number))
+            for size, anchor, i in zip(*(np.frombuffer(p, k).tolist() for p, (_, k) in zip(packs, packed, strict=True)), strict=True):
+                piece = raw[at : at + size]
                 at += size
+                k = number.setdefault(piece, len(number))
+                if k == len(least) and anchor != ALONE:
+                    of_anchor.setdefault(piece[anchor : anchor + K], []).append(k)
                 if k == len(least):
                     least.append(i)
                 elif i < least[k]:
@@ -442,8 +450,10 @@ def remove_repeats(
             of_row.append(np.array(mine, np.int64))
         strings, smallest = list(number), np.array(least, np.int64)
         parts: dict[int, list[tuple[int, int]]] = {}
-        for k, a, b in earlier_matches(strings, smallest, length):
-            parts.setdefault(k, []).append((a, b))
+        # a piece that alone has its anchor shares no window with any other piece
+        some = [k for ks in of_anchor.values() if len(ks) > 1 for k in ks]
+        for n, a, b in earlier_matches([strings[k] for k in some], smallest[some], length):
+            parts.setdefault(some[n], []).append((a, b))
         sizes = np.array([len(s) for s in strings], np.int64)
         out = []
         columns = ("block", "piece", "ids", "docs", "starts")
