@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vitalmart.llm.buckets import bucket_cuts, long_keys, short_keys
 from vitalmart.llm.common import id_or_last, parts_for, text_bytes, texts
 
 LENGTH = 50
@@ -306,24 +307,6 @@ def _distinct(found: Anchors, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key[heads], owner[heads] != owner[last] if len(key) else np.empty(0, bool)
 
 
-def _short(keys: np.ndarray, bits: int) -> bytes:
-    """40 bits of each key behind the bucket's; more pieces are compared if two agree by chance."""
-    rest = (keys << np.uint64(bits)) >> np.uint64(24)
-    return rest.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 3:].tobytes()
-
-
-def _long(packed: bytes) -> np.ndarray:
-    five = np.frombuffer(packed, np.uint8).reshape(-1, 5)
-    return np.concatenate([np.zeros((len(five), 3), np.uint8), five], 1).copy().view(">u8").ravel().astype(np.uint64)
-
-
-def _bucket_cuts(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of ascending keys with the first and last place of each."""
-    bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
-    heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(keys) else np.empty(0, np.int64)
-    return bucket[heads], heads, np.append(heads[1:], len(keys))
-
-
 def remove_repeats(
     docs: DataFrame,
     *,
@@ -363,15 +346,15 @@ def remove_repeats(
         _, ids, _, doc, found = anchors_of(group)
         keys, several = _distinct(found, ids[doc])
         rows = [
-            (group["block"].iloc[0], b, _short(keys[i:j], bits), np.packbits(several[i:j]).tobytes())
-            for b, i, j in zip(*map(np.ndarray.tolist, _bucket_cuts(keys, bits)), strict=True)
+            (group["block"].iloc[0], b, short_keys(keys[i:j], bits), np.packbits(several[i:j]).tobytes())
+            for b, i, j in zip(*map(np.ndarray.tolist, bucket_cuts(keys, bits)), strict=True)
         ]
         return pd.DataFrame(rows, columns=["block", "bucket", "keys", "several"])
 
     asked = blocks.groupBy("block").applyInPandas(ask, "block bigint, bucket bigint, keys binary, several binary")
 
     def answer(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = [_long(k) for k in rows["keys"]]
+        keys = [long_keys(k) for k in rows["keys"]]
         several = np.concatenate([np.unpackbits(np.frombuffer(s, np.uint8), count=len(k)) for s, k in zip(rows["several"], keys, strict=True)])
         _, place, times = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
         shared = (times[place] > 1) | (np.bincount(place, several) > 0)[place]
@@ -390,7 +373,7 @@ def remove_repeats(
         keys, _ = _distinct(found, ids[doc])
         shared, hot = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
         said = replies.set_index("bucket")
-        for b, i, j in zip(*map(np.ndarray.tolist, _bucket_cuts(keys, bits)), strict=True):
+        for b, i, j in zip(*map(np.ndarray.tolist, bucket_cuts(keys, bits)), strict=True):
             shared[i:j] = np.unpackbits(np.frombuffer(said["shared"][b], np.uint8), count=j - i)
             hot[i:j] = np.unpackbits(np.frombuffer(said["hot"][b], np.uint8), count=j - i)
         place = np.searchsorted(keys, found.key)
