@@ -34,9 +34,21 @@ def money(expr: str) -> str:
     return f"cast({expr} as decimal(18,2))"
 
 
-# Icd code text of a part number: a letter, then at least two digits.
+def base36(number: str, width: int, offset: int = 0) -> str:
+    """The number in base 36 behind an offset; fails loudly where it needs more digits."""
+    shifted = f"({number} + {offset})"
+    return (
+        f"if({shifted} < {36**width}, lpad(conv({shifted}, 10, 36), {width}, '0'), "
+        f"raise_error('a key needs more than {width} characters'))"
+    )
+
+
+# Icd code text of a part number: a letter, then at least two digits; from a million on, a
+# number in base 36 that begins with a letter, so that no code needs more than 7 characters.
 def icd_raw(p: str) -> str:
-    return f"concat(char(65 + {p} % 26), lpad({p}, greatest(2 + {p} % 5, length({p})), '0'))"
+    digits = f"lpad({p}, greatest(2 + {p} % 5, length({p})), '0')"
+    longer = base36(p, 6, 10 * 36**5 - 1_000_000)
+    return f"concat(char(65 + {p} % 26), if({p} < 1000000, {digits}, {longer}))"
 
 
 def icd(p: str) -> str:
@@ -45,9 +57,14 @@ def icd(p: str) -> str:
 
 
 def hcpcs(p: str) -> str:
+    """Five characters: digits or A-E and digits below 20000, then F-Z and base 36."""
+    rest, span = f"({p} - 20000)", 36**4
     return (
-        f"if({p} % 2 = 0, lpad({p}, greatest(5, length({p})), '0'), "
-        f"concat(char(65 + {p} % 5), lpad({p} div 2, greatest(4, length({p} div 2)), '0')))"
+        f"case when {p} >= 20000 then if({rest} div {span} < 21, "
+        f"concat(char(70 + {rest} div {span}), {base36(f'{rest} % {span}', 4)}), "
+        f"raise_error('a procedure code needs more than 5 characters')) "
+        f"when {p} % 2 = 0 then lpad({p}, 5, '0') "
+        f"else concat(char(65 + {p} % 5), lpad({p} div 2, 4, '0')) end"
     )
 
 
@@ -55,7 +72,7 @@ def ndc(p: str) -> str:
     """Package codes in the three 10-digit shapes and the full 11-digit one."""
     a, b = f"lpad({p}, 8, '0')", f"lpad({p}, 9, '0')"
     return (
-        f"case {p} % 4 "
+        f"case if({p} < 100000000, {p} % 4, raise_error('a drug code needs more than 8 digits')) "
         f"when 0 then concat(left({a},4), '-', right({a},4), '-10') "
         f"when 1 then concat(left({a},5), '-', right({a},3), '-20') "
         f"when 2 then concat(left({b},5), '-', right({b},4), '-3') "
@@ -97,13 +114,9 @@ class Raw:
             self.built[key] = given(self.spark, self.sf_dir, table)
         return self.built[key]
 
-    def _order_lines(self, flag: str | None = None) -> DataFrame:
-        lines = self.given("lineitem")
-        if flag:
-            lines = lines.filter(F.col("l_returnflag") == flag)
+    def _order_lines(self) -> DataFrame:
         owner = self.given("orders").select("o_orderkey", "o_custkey")
-        # Orders grow with their lines, so they are never the side to broadcast.
-        return lines.join(owner.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+        return self.given("lineitem").join(owner, F.col("l_orderkey") == F.col("o_orderkey"))
 
     def patients(self) -> DataFrame:
         df = self.given("customer").join(
@@ -176,7 +189,7 @@ class Raw:
 
     def conditions(self) -> DataFrame:
         return _shape(
-            self._order_lines("R"),
+            self._order_lines(),
             "conditions",
             {
                 "START": DAY.format("l_shipdate"),
@@ -191,7 +204,7 @@ class Raw:
 
     def procedures(self) -> DataFrame:
         return _shape(
-            self._order_lines("N"),
+            self._order_lines(),
             "procedures",
             {
                 "START": STAMP.format("l_shipdate"),
@@ -209,7 +222,7 @@ class Raw:
 
     def medications(self) -> DataFrame:
         return _shape(
-            self._order_lines("A"),
+            self._order_lines(),
             "medications",
             {
                 "START": STAMP.format("l_shipdate"),
@@ -294,13 +307,10 @@ class Raw:
             },
         )
 
-    def _events(self, kind: str) -> DataFrame:
-        return self.given("events").filter(F.col("event_type") == kind)
-
     def allergies(self) -> DataFrame:
         level = "element_at(array('MILD', 'MODERATE', 'SEVERE', null), cast({0} % 4 + 1 as int))"
         return _shape(
-            self._events("error"),
+            self.given("events"),
             "allergies",
             {
                 "START": DAY.format("ts"),
@@ -321,7 +331,7 @@ class Raw:
 
     def careplans(self) -> DataFrame:
         return _shape(
-            self._events("signup"),
+            self.given("events"),
             "careplans",
             {
                 "Id": "concat('plan-', event_id)",
@@ -338,7 +348,7 @@ class Raw:
 
     def devices(self) -> DataFrame:
         return _shape(
-            self._events("purchase"),
+            self.given("events"),
             "devices",
             {
                 "START": DAY.format("ts"),
@@ -353,7 +363,7 @@ class Raw:
 
     def imaging_studies(self) -> DataFrame:
         return _shape(
-            self._events("view"),
+            self.given("events"),
             "imaging_studies",
             {
                 "Id": "concat('study-', event_id)",
@@ -374,7 +384,7 @@ class Raw:
 
     def immunizations(self) -> DataFrame:
         return _shape(
-            self._events("click"),
+            self.given("events"),
             "immunizations",
             {
                 "DATE": DAY.format("ts"),
@@ -388,7 +398,7 @@ class Raw:
 
     def supplies(self) -> DataFrame:
         return _shape(
-            self._events("purchase"),
+            self.given("events"),
             "supplies",
             {
                 "DATE": DAY.format("ts"),
@@ -563,8 +573,12 @@ class Raw:
     def semantic_types(self) -> DataFrame:
         return self._parts(
             "semantic_types",
-            {"rxcui": "p_partkey", "tui": "concat('T', p_partkey % 5)", "sty": "p_type"},
-            self.given("part").filter("p_partkey % 8 > 0"),
+            # every eighth row names a concept that is not there
+            {
+                "rxcui": "if(p_partkey % 8 = 0, concat('-', p_partkey), cast(p_partkey as string))",
+                "tui": "concat('T', p_partkey % 5)",
+                "sty": "p_type",
+            },
         )
 
     def sources(self) -> DataFrame:
@@ -710,14 +724,17 @@ class Raw:
         cells, upto = [], 1
         for name, start, width in PROCEDURE_CODE_RECORD:
             cells.append(f"space({start - upto})")
-            cells.append(f"rpad(left({fields.get(name, chr(39) * 2)}, {width}), {width}, ' ')")
+            cell = fields.get(name, "''")
+            long = f"raise_error('{name} needs more than {width} characters')"
+            cells.append(f"if(length({cell}) <= {width}, rpad({cell}, {width}, ' '), {long})")
             upto = start + width
         return self.given("part").selectExpr(f"concat({', '.join(cells)}) as value")
 
     def icd_lines(self) -> DataFrame:
         """Fixed-width diagnosis code lines, column ``value``."""
         return self.given("part").selectExpr(
-            "concat(lpad(p_partkey % 100000, 5, '0'), ' ', "
+            "concat(if(p_partkey < 100000, lpad(p_partkey, 5, '0'), "
+            f"{base36('p_partkey', 5, 10 * 36**4 - 100_000)}), ' ', "
             f"rpad({icd_raw('p_partkey')}, 7, ' '), ' ', if(p_size % 3 = 0, '0', '1'), ' ', "
             "rpad(concat('Diagnosis ', p_partkey), 60, ' '), "
             "concat('Long diagnosis ', p_partkey, ' ', p_name)) as value"

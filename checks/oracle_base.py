@@ -19,8 +19,9 @@ def condition_code(p: str) -> str:
 
 def icd_raw(p: str) -> str:
     return (
-        f"chr((65 + {p} % 26)::INT) || "
-        f"lpad({p}::VARCHAR, greatest(2 + {p} % 5, length({p}::VARCHAR))::INT, '0')"
+        f"(chr((65 + {p} % 26)::INT) || CASE WHEN {p} < 1000000 THEN "
+        f"lpad({p}::VARCHAR, greatest(2 + {p} % 5, length({p}::VARCHAR))::INT, '0') "
+        f"ELSE to_base({p} + {10 * 36**5 - 1_000_000}, 36, 6) END)"
     )
 
 
@@ -29,10 +30,11 @@ def dotted(raw: str) -> str:
 
 
 def hcpcs(p: str) -> str:
+    rest, span = f"({p} - 20000)", 36**4
     return (
-        f"CASE WHEN {p} % 2 = 0 THEN lpad({p}::VARCHAR, greatest(5, length({p}::VARCHAR))::INT, '0') "
-        f"ELSE chr((65 + {p} % 5)::INT) || lpad(({p} // 2)::VARCHAR, "
-        f"greatest(4, length(({p} // 2)::VARCHAR))::INT, '0') END"
+        f"CASE WHEN {p} >= 20000 THEN chr((70 + {rest} // {span})::INT) || to_base({rest} % {span}, 36, 4) "
+        f"WHEN {p} % 2 = 0 THEN lpad({p}::VARCHAR, 5, '0') "
+        f"ELSE chr((65 + {p} % 5)::INT) || lpad(({p} // 2)::VARCHAR, 4, '0') END"
     )
 
 
@@ -194,7 +196,7 @@ SELECT o_custkey::VARCHAR patient_id, l_orderkey::VARCHAR encounter_id, code con
   CASE WHEN stop IS NULL THEN 'active' ELSE 'resolved' END clinical_status,
   l_shipdate::DATE recorded_date, date_diff('day', l_shipdate, stop)::INT duration_days,
   stop IS NULL is_active, stop IS NOT NULL is_resolved
-FROM (SELECT *, {STOP} stop, {condition_code('l_partkey')} code FROM {LINES} WHERE l_returnflag = 'R')
+FROM (SELECT *, {STOP} stop, {condition_code('l_partkey')} code FROM {LINES})
 """
 part("c_condition_only")(CONDITION_BASE)
 part("c_condition", "c_condition_only", "v_snomed_icd10cm_simple")("""
@@ -232,7 +234,7 @@ SELECT o_custkey::VARCHAR patient_id, l_orderkey::VARCHAR encounter_id, code pro
   {sha("o_custkey", "code", "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')", "l_orderkey")} procedure_id,
   'http://snomed.info/sct' code_system, 'completed' procedure_status, 'SYNTHEA.PROCEDURES' source_system,
   l_shipdate::DATE performed_date
-FROM (SELECT *, {STOP} stop, {hcpcs('l_partkey')} code FROM {LINES} WHERE l_returnflag = 'N')
+FROM (SELECT *, {STOP} stop, {hcpcs('l_partkey')} code FROM {LINES})
 """)
 part("c_procedure", "c_procedure_only", "lookup_hcpcs_codes")("""
 SELECT p.*, h.hcpcs_code, h.short_description hcpcs_description, h.code_type hcpcs_code_type, h.betos_code
@@ -251,7 +253,7 @@ SELECT o_custkey::VARCHAR patient_id, l_orderkey::VARCHAR encounter_id, (l_order
   l_shipdate::DATE prescribed_date,
   CASE WHEN l_linenumber = 7 THEN 0 ELSE l_linenumber - 1 END::BIGINT refills_allowed,
   (l_extendedprice::{MONEY} - l_linenumber * 10)::{MONEY} patient_cost, stop IS NULL is_active
-FROM (SELECT *, {STOP} stop FROM {LINES} WHERE l_returnflag = 'A')
+FROM (SELECT *, {STOP} stop FROM {LINES})
 """)
 part(
     "c_medication",
@@ -319,7 +321,7 @@ SELECT user_id::VARCHAR patient_id, event_id::VARCHAR encounter_id, (event_id %
   ts::DATE recorded_date,
   CASE event_id % 4 WHEN 1 THEN 'moderate' WHEN 2 THEN 'severe' ELSE 'mild' END reaction_severity,
   event_id % 3 = 0 is_active, event_id % 4 = 2 OR event_id // 4 % 4 = 2 is_high_criticality
-FROM events WHERE event_type = 'error'
+FROM events
 """)
 part("c_allergy", "c_allergy_only", "lookup_rxnorm_concepts")("""
 SELECT a.*, c.rxnorm_name, c.tty rxnorm_term_type FROM c_allergy_only a
@@ -333,7 +335,7 @@ SELECT 'plan-' || event_id careplan_id, user_id::VARCHAR patient_id, event_id::V
   CASE WHEN stop IS NULL THEN 'active' ELSE 'completed' END careplan_status,
   date_diff('day', ts::DATE, coalesce(stop, {AS_OF}))::INT duration_days,
   CASE WHEN stop IS NULL THEN 'in-progress' ELSE 'completed' END activity_status, stop IS NULL is_active
-FROM (SELECT *, CASE WHEN event_id % 4 > 0 THEN ts::DATE + 45 END stop FROM events WHERE event_type = 'signup')
+FROM (SELECT *, CASE WHEN event_id % 4 > 0 THEN ts::DATE + 45 END stop FROM events)
 """)
 part("c_device")("""
 SELECT user_id::VARCHAR patient_id, event_id::VARCHAR encounter_id, udi, code device_code,
@@ -344,7 +346,7 @@ SELECT user_id::VARCHAR patient_id, event_id::VARCHAR encounter_id, udi, code de
   udi IS NOT NULL has_udi
 FROM (SELECT *, CASE WHEN event_id % 2 > 0 THEN ts::DATE + 10 END stop,
     CASE WHEN event_id % 3 = 0 THEN 'UDI' || event_id END udi,
-    CASE WHEN event_id % 6 > 0 THEN (event_id % 30)::VARCHAR END code FROM events WHERE event_type = 'purchase')
+    CASE WHEN event_id % 6 > 0 THEN (event_id % 30)::VARCHAR END code FROM events)
 """)
 part("c_imagingstudy")("""
 SELECT 'study-' || event_id study_id, user_id::VARCHAR patient_id, event_id::VARCHAR encounter_id,
@@ -354,7 +356,7 @@ SELECT 'study-' || event_id study_id, user_id::VARCHAR patient_id, event_id::VAR
   '1.3.' || event_id instance_uid, (event_id % 4)::VARCHAR sop_code, 'Sop ' || (event_id % 4) sop_description,
   (event_id % 90)::VARCHAR procedure_code, CASE WHEN event_id % 8 > 0 THEN ts::DATE END study_date,
   'available' study_status, 'SYNTHEA.IMAGING_STUDIES' source_system
-FROM events WHERE event_type = 'view'
+FROM events
 """)
 part("c_immunization")(f"""
 SELECT user_id::VARCHAR patient_id, event_id::VARCHAR encounter_id, (event_id % 20)::VARCHAR vaccine_code,
@@ -362,7 +364,7 @@ SELECT user_id::VARCHAR patient_id, event_id::VARCHAR encounter_id, (event_id %
   value::{MONEY} "cost", {sha("user_id", "event_id % 20", "ts::DATE")} immunization_id,
   'http://hl7.org/fhir/sid/cvx' code_system, 'completed' immunization_status, true is_primary_source,
   'SYNTHEA.IMMUNIZATIONS' source_system
-FROM events WHERE event_type = 'click'
+FROM events
 """)
 part("c_supply")(f"""
 SELECT user_id::VARCHAR patient_id, enc encounter_id, (event_id % 25)::VARCHAR supply_code,
@@ -370,7 +372,7 @@ SELECT user_id::VARCHAR patient_id, enc encounter_id, (event_id % 25)::VARCHAR s
   {sha("user_id", "event_id % 25", "ts::DATE", "enc")} supply_id, 'unit' unit, 'completed' delivery_status,
   'device' supply_type_code, 'Device' supply_type, 'SYNTHEA.SUPPLIES' source_system,
   CASE WHEN event_id % 5 = 0 THEN 1 ELSE event_id % 12 END::BIGINT quantity, enc IS NOT NULL has_encounter
-FROM (SELECT *, CASE WHEN event_id % 4 > 0 THEN event_id::VARCHAR END enc FROM events WHERE event_type = 'purchase')
+FROM (SELECT *, CASE WHEN event_id % 4 > 0 THEN event_id::VARCHAR END enc FROM events)
 """)
 part("c_coverage")(f"""
 SELECT o_custkey::VARCHAR patient_id, (o_orderkey % 5)::VARCHAR payer_id, (o_orderkey % 5)::VARCHAR payer_name,
@@ -454,12 +456,13 @@ part("hcpcs_fields")(
 )
 part("lookup_hcpcs_codes", "hcpcs_fields")("""
 SELECT * EXCLUDE (p_partkey), CASE record_type WHEN '3' THEN 'PROCEDURE' ELSE 'MODIFIER' END code_type,
-  CASE WHEN p_partkey % 2 = 0 THEN 'CPT' ELSE 'HCPCS_LEVEL_II' END code_category,
+  CASE WHEN p_partkey % 2 = 0 AND p_partkey < 20000 THEN 'CPT' ELSE 'HCPCS_LEVEL_II' END code_category,
   termination_date <> '20011231' is_active
 FROM hcpcs_fields WHERE record_type <> '4'
 """)
 part("icd_fields")(f"""
-SELECT lpad((p_partkey % 100000)::VARCHAR, 5, '0') order_number, {icd_raw('p_partkey')} icd10cm_code_raw,
+SELECT CASE WHEN p_partkey < 100000 THEN lpad(p_partkey::VARCHAR, 5, '0')
+    ELSE to_base(p_partkey + {10 * 36**4 - 100_000}, 36, 5) END order_number, {icd_raw('p_partkey')} icd10cm_code_raw,
   CASE WHEN p_size % 3 = 0 THEN '0' ELSE '1' END is_billable_flag, 'Diagnosis ' || p_partkey short_description,
   'Long diagnosis ' || p_partkey || ' ' || p_name long_description, p_partkey FROM part
 """)
@@ -607,8 +610,8 @@ part("lookup_rxnorm_relationships", "relationship_rows")(
     "SELECT *, 'false' is_suppressed FROM relationship_rows WHERE suppress_flag IS NULL"
 )
 part("lookup_rxnorm_semantic_types")(
-    "SELECT p_partkey::VARCHAR rxcui, 'T' || (p_partkey % 5) tui, p_type sty, "
-    f"{nulls('stn atui cvf')} FROM part WHERE p_partkey % 8 > 0"
+    "SELECT CASE WHEN p_partkey % 8 = 0 THEN '-' ELSE '' END || p_partkey rxcui, 'T' || (p_partkey % 5) tui, "
+    f"p_type sty, {nulls('stn atui cvf')} FROM part"
 )
 part("lookup_rxnorm_sources")(
     "SELECT p_partkey::VARCHAR vcui, p_brand rsab, p_name son, 'ENG' lat, p_type ssn, "

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -193,13 +194,13 @@ def src13_state_folders(spark, sf_dir):
 
 def snk2_write_and_count(spark, sf_dir):
     """An encounter write whose rows are counted while written, as a run log."""
-    path = scratch_path(spark, "sink")
+    schema = f"sink_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{scratch_path(spark, schema)}'")
     encounters = Clinic(spark, sf_dir)["encounter"]
-    seen = Observation()
-    counted = encounters.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").parquet(path)
-    done = tables.Written("silver", "v_encounter_flattened", seen.get["rows"], 0.0, True)
-    return tables.run_log(spark, [done]).select("stage", "table_name", "row_count", "success")
+    name = f"{schema}.v_encounter_flattened"
+    write = lambda: tables.write_table(encounters, name, "silver", "cleaned")
+    log = tables.run_log(spark, [tables.attempt("silver", "v_encounter_flattened", write)])
+    return log.select("stage", "table_name", "row_count", "success")
 
 
 # --- scalar operators over given columns -----------------------------------------------
@@ -331,11 +332,10 @@ def op_numbered(spark, sf_dir):
 
 
 def op_left_join(spark, sf_dir):
-    """All customers with their large orders, without splitting any customer."""
+    """All customers with all of their orders; customers without any stay."""
     raw = Raw(spark, sf_dir)
     people = raw.given("customer").select(c("c_custkey").alias("key"), "c_name")
-    big = raw.given("orders").filter(c("o_totalprice") > 400000)
-    orders = big.select(c("o_custkey").alias("key"), "o_orderkey")
+    orders = raw.given("orders").select(c("o_custkey").alias("key"), "o_orderkey")
     return rows.left_join_hot_right(people, orders, "key")
 
 
@@ -353,10 +353,7 @@ def condition_all_targets(spark, sf_dir):
     """Conditions beside every mapped code, which repeats a condition per target."""
     clinic = Clinic(spark, sf_dir)
     mapping = clinic["lookup_snomed_icd10cm_map"]
-    found = cleaned.condition(clinic.raw["conditions"], AS_OF, mapping)
-    return plain(
-        found.groupBy("condition_code", "icd10cm_code").agg(F.count("*").alias("occurrences"))
-    )
+    return plain(cleaned.condition_targets(clinic.raw["conditions"], AS_OF, mapping))
 
 
 def cleaned_without_lookups(spark, sf_dir):

@@ -1,4 +1,4 @@
-"""Files to mart in a small warehouse, with run log, failures and buckets."""
+"""Files to mart in a small warehouse, with run log and failures."""
 
 import datetime as dt
 
@@ -34,11 +34,11 @@ def built(spark, sf_dir, tmp_path_factory):
         )
     names = {need for maker, needs in lookups.TABLES.values() for need in needs}
     files = {n: (lambda n=n: raw[n]) for n in names if n != "as_of" and n not in lookups.TABLES}
-    log = pipeline.build_all(spark, root, files, LAYERS, AS_OF, buckets=4)
+    log = pipeline.build_all(spark, root, files, LAYERS, AS_OF)
     return log
 
 
-def test_run_log(spark, built, rows):
+def test_run_log(spark, built):
     failed = {r["table_name"] for r in built.filter("not success").collect()}
     assert failed == {"bronze_symptoms", "bronze_notes", "bronze_text_encounters"}
     summary = {r["stage"]: r for r in tables.stage_summary(built).collect()}
@@ -58,16 +58,19 @@ def test_stored_tables_carry_refresh_times(spark, built):
     assert hcpcs.select("_rec_src").first()[0] == "REFERENCE.HCPCS"
 
 
-def test_bucketed_summary_needs_no_shuffle(spark, built):
-    find = pipeline.mart_source(spark, LAYERS)
-    _, maker, needs = pipeline.MART["agg_patient_summary"]
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = maker(*[find(n) for n in needs])._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert "Exchange" not in text
+def test_failed_lookup_stops_what_needs_it(spark, built):
+    def broken():
+        raise ValueError("no such file" + "!" * 3000)
+
+    failed = {"t_bronze.bronze_devices"}
+    log = pipeline.build_lookups(spark, {"hcpcs_lines": broken}, LAYERS, AS_OF, failed)
+    errors = {r.table_name: r.error for r in log if not r.success}
+    assert errors["lookup_hcpcs_codes"].endswith("!" * 3000)
+    assert "lookup_hcpcs_codes, which failed in this run" in errors["v_hcpcs_active"]
+    cleaned_log = {r.table_name: r for r in pipeline.build_cleaned(spark, LAYERS, AS_OF, failed)}
+    assert not cleaned_log["v_procedure_flattened"].success
+    assert not cleaned_log["v_device_flattened"].success
+    assert cleaned_log["v_patient_flattened"].success
 
 
 def test_report_views(spark, built):

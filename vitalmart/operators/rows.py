@@ -55,45 +55,52 @@ def first_n_as_columns(
     return ranked.groupBy(key).agg(*slots)
 
 
+# Equal copies of a row are folded apart in this many folds.
+FOLDS = 1024
+
+
 def numbered(
     df: DataFrame, key: str, day: str, tie: Sequence[str], name: str = "line_num"
 ) -> DataFrame:
     """Number all rows of each key by day, then by a digest of the ``tie`` columns.
 
-    Equal copies are first folded into one row with a count. Rows then fall into slots of
-    (key, day, digest prefix): slots follow the wanted order, and a hot key spreads over
-    many of them. Slot sizes give each slot its starting number, so only the rows of one
-    slot are ever sorted together. Rows without a key are not numbered and left out.
-
-    The slot sizes are left joined, which adds no filter of its own to the folded rows, so
-    their shuffle is shared by both uses.
+    Equal copies are folded into rows with a count, up to ``FOLDS`` of them, so that no row
+    stands for all copies. Rows then fall into slots of (key, day, digest prefix): slots
+    follow the wanted order, and a hot key spreads over many of them. The sizes of a day's
+    slots, and then those of a key's days, give each slot its starting number, so only the
+    rows of one slot are ever sorted together, and no window sees more rows of a key than
+    there are days, or of a day than there are prefixes. Rows without a key are not numbered
+    and left out.
     """
     columns = df.columns
-    slot = [key, "_day", "_slice"]
+    slot, on_day = [key, "_day", "_slice"], [key, "_day"]
     folded = (
         df.filter(F.col(key).isNotNull())
-        .groupBy(*columns)
+        .withColumn("_fold", F.monotonically_increasing_id() % FOLDS)
+        .groupBy(*columns, "_fold")
         .agg(F.count("*").alias("_copies"))
         .withColumns(
             {"_digest": hashed(*tie), "_day": F.coalesce(F.col(day).cast("string"), F.lit(""))}
         )
-        .withColumn("_slice", F.substring("_digest", 1, 2))
+        .withColumn("_slice", F.substring("_digest", 1, 4))
     )
-    earlier_slots = Window.partitionBy(key).orderBy("_day", "_slice")
+    sizes = folded.groupBy(*slot).agg(F.sum("_copies").alias("_size"))
+    in_day = F.sum("_size").over(Window.partitionBy(*on_day).orderBy("_slice")) - F.col("_size")
+    days = sizes.groupBy(*on_day).agg(F.sum("_size").alias("_size"))
+    in_key = F.sum("_size").over(Window.partitionBy(key).orderBy("_day")) - F.col("_size")
     starts = (
-        folded.groupBy(*slot)
-        .agg(F.sum("_copies").alias("_size"))
-        .withColumn("_before", F.sum("_size").over(earlier_slots) - F.col("_size"))
-        .drop("_size")
+        sizes.select(*slot, in_day.alias("_in_day"))
+        .join(days.select(*on_day, in_key.alias("_in_key")), on_day)
+        .select(*slot, (F.col("_in_day") + F.col("_in_key")).alias("_before"))
     )
     within = (
         Window.partitionBy(*slot)
-        .orderBy("_digest", *columns)
+        .orderBy("_digest", *columns, "_fold")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    placed = folded.withColumn("_upto", F.sum("_copies").over(within)).join(starts, slot, "left")
+    placed = folded.withColumn("_upto", F.sum("_copies").over(within)).join(starts, slot)
     last = F.col("_before") + F.col("_upto")
-    numbers = F.sequence(last - F.col("_copies") + 1, last).cast("array<int>")
+    numbers = F.sequence(last - F.col("_copies") + 1, last)
     return placed.select(*columns, F.explode(numbers).alias(name))
 
 
@@ -102,10 +109,14 @@ def left_join_hot_right(left: DataFrame, right: DataFrame, key: str) -> DataFram
 
     A left outer join can only split its left side, so the matches come from an inner
     join, where adaptive execution may split either side, and the rest from an anti join.
+    Rows without a key match nothing; they are taken apart, so both joins read the same
+    rows of the left side and share its shuffle.
     """
-    matched = left.join(right, key)
-    keys = right.select(key).distinct()
-    return matched.unionByName(left.join(keys, key, "left_anti"), allowMissingColumns=True)
+    keyed, found = left.filter(F.col(key).isNotNull()), right.filter(F.col(key).isNotNull())
+    matched = keyed.join(found, key)
+    rest = keyed.join(found.select(key).distinct(), key, "left_anti")
+    rest = rest.unionByName(left.filter(F.col(key).isNull()))
+    return matched.unionByName(rest, allowMissingColumns=True)
 
 
 def running_until(
@@ -115,8 +126,9 @@ def running_until(
 
     ``key`` is a hex digest, so its leading characters cut a day into even, ordered
     slices. Each slice reports its sum and its highest running total, days combine their
-    slices, and the crossing is then located day first, slice next, row last. Amounts may
-    be negative. Without a crossing the grand total is returned.
+    slices, and the rows of the crossing slice alone are then walked again: the input is
+    read twice. Amounts may be negative. Without a crossing the grand total is returned.
+    The window over days sees one row per distinct day.
     """
     limit = F.lit(threshold).cast("decimal(18,2)")
     rows = df.filter(F.col(amount).isNotNull()).select(
@@ -137,27 +149,34 @@ def running_until(
         .agg(F.sum("amount").alias("amount"), F.max("run").alias("peak"))
         .withColumn("before", upto(["slice"], "day") - F.col("amount"))
     )
-    days = (
-        slices.groupBy("day")
-        .agg(F.sum("amount").alias("amount"), F.max(F.col("before") + F.col("peak")).alias("peak"))
-        .withColumn("before", upto(["day"]) - F.col("amount"))
+    # Days with their slices: at most 65,536 of them, one for each prefix.
+    days = slices.groupBy("day").agg(
+        F.sum("amount").alias("amount"),
+        F.collect_list(F.struct("slice", "before", "peak")).alias("slices"),
     )
-    reached = F.col("before") + F.col("peak") >= limit
-    day_hit = days.filter(reached).agg(F.min_by(F.struct("day", "before"), "day").alias("hit"))
-    day_at, day_base = (day_hit.select(f"hit.{c}").scalar() for c in ("day", "before"))
-
-    here = slices.filter(F.col("day") == day_at).withColumn("before", F.col("before") + day_base)
-    slice_hit = here.filter(reached).agg(
-        F.min_by(F.struct("slice", "before"), "slice").alias("hit")
-    )
-    slice_at, slice_base = (slice_hit.select(f"hit.{c}").scalar() for c in ("slice", "before"))
-
-    crossing = (
-        walked.filter((F.col("day") == day_at) & (F.col("slice") == slice_at))
-        .withColumn("run", F.col("run") + slice_base)
-        .filter(F.col("run") >= limit)
-        .agg(F.min_by("run", F.struct("key", "amount")).alias("run"))
+    base = upto(["day"]) - F.col("amount")
+    placed = days.select("day", "amount", base.alias("base"), "slices")
+    place = F.struct("day", "slice")
+    # One row: the slice that holds the crossing, or the last one, and what comes before it.
+    hit = (
+        placed.select("day", "base", F.inline("slices"))
+        .withColumn("before", F.col("base") + F.col("before"))
+        .agg(
+            F.coalesce(
+                F.min_by(
+                    F.struct("day", "slice", "before"),
+                    F.when(F.col("before") + F.col("peak") >= limit, place),
+                ),
+                F.max_by(F.struct("day", "slice", "before"), place),
+            ).alias("hit")
+        )
+        .select("hit.*")
     )
-    total = rows.agg(F.sum("amount")).scalar()
-    answer = F.coalesce(F.col("run"), total, F.lit(0)).cast("decimal(18,2)")
-    return crossing.select(answer.alias("total_until_threshold"), limit.alias("threshold"))
+    walk = Window.partitionBy("day", "slice").orderBy("key", "amount")
+    run = F.sum("amount").over(walk.rowsBetween(Window.unboundedPreceding, 0)) + F.col("before")
+    here = rows.join(F.broadcast(hit), ["day", "slice"]).withColumn("run", run)
+    row = F.struct("key", "amount")
+    crossing = F.min_by("run", F.when(F.col("run") >= limit, row))
+    # Without a crossing the last row of the last slice has the grand total.
+    answer = F.coalesce(crossing, F.max_by("run", row), F.lit(0)).cast("decimal(18,2)")
+    return here.agg(answer.alias("total_until_threshold")).withColumn("threshold", limit)

@@ -636,6 +636,24 @@ def condition(raw, as_of, snomed_map: DataFrame | None = None) -> DataFrame:
     return enrich(shaped, snomed_map, "condition_code", "snomed_concept_id", take)
 
 
+def condition_targets(raw, as_of, snomed_map: DataFrame) -> DataFrame:
+    """How often each condition meets each of its mapped codes under the full map.
+
+    Conditions are counted per code, and map rows per code and target, before they meet; the
+    counts multiply. No row stands for one condition and one target.
+    """
+    found = shape(raw, SPECS["condition"], as_of).groupBy("condition_code")
+    found = found.agg(F.count("*").alias("_conditions"))
+    targets = snomed_map.filter("snomed_concept_id is not null").groupBy(
+        F.col("snomed_concept_id").alias("condition_code"), "icd10cm_code"
+    )
+    targets = targets.agg(F.count("*").alias("_rows"))
+    times = F.col("_conditions") * F.coalesce("_rows", F.lit(1))
+    return found.join(targets, "condition_code", "left").select(
+        "condition_code", "icd10cm_code", times.alias("occurrences")
+    )
+
+
 def _active(lookup: DataFrame | None) -> DataFrame | None:
     return None if lookup is None else lookup.filter("is_active")
 

@@ -54,7 +54,7 @@ CARRIER_CLASSES = ("wellness", "outpatient")
 DIAGNOSIS_SLOTS, PROCEDURE_SLOTS = 10, 6
 DEFAULT_SUPPLY_DAYS = 30
 
-MONEY = "decimal(10,2)"
+MONEY = "decimal(18,2)"
 # Yearly costs: reimbursement, beneficiary and primary payer share per claim kind.
 COSTS = [f"{what}_{kind}" for kind in ("ip", "op", "car") for what in ("medreimb", "benres", "pppymt")]
 
@@ -284,7 +284,6 @@ def fact_cms_carrier_claims(encounter: DataFrame, procedure: DataFrame) -> DataF
         "betos_code",
         "procedure_description",
     )
-    line = numbered(lines, "encounter_id", "performed_date", ["procedure_id", "procedure_cost"])
     keyed = encounter.filter("encounter_id is not null and patient_id is not null")
     header = in_class(keyed, CARRIER_CLASSES).select(
         "encounter_id",
@@ -294,6 +293,9 @@ def fact_cms_carrier_claims(encounter: DataFrame, procedure: DataFrame) -> DataF
         "end_datetime",
         "source_system",
     )
+    # Lines of other classes are never numbered.
+    lines = lines.join(header.select("encounter_id"), "encounter_id", "left_semi")
+    line = numbered(lines, "encounter_id", "performed_date", ["procedure_id", "procedure_cost"])
     return left_join_hot_right(header, line, "encounter_id").select(
         surrogate_key("encounter_id").alias("claim_key"),
         surrogate_key("patient_id").alias("beneficiary_key"),

@@ -36,6 +36,11 @@ def _set_of(column: str) -> Column:
     return F.array_sort(F.collect_set(column))
 
 
+def _size_of(column: str) -> Column:
+    """How many values `_set_of` holds, without a shuffle of its own."""
+    return F.size(F.collect_set(column)).cast("bigint")
+
+
 def _yes(column: str, value: str = "Y") -> Column:
     return true_false(F.upper(c(column)) == value)
 
@@ -371,7 +376,7 @@ def v_snomed_icd10cm_all(mapping: DataFrame) -> DataFrame:
         .groupBy("snomed_concept_id", "snomed_concept_name")
         .agg(
             _set_of("icd10cm_code").alias("icd10cm_codes"),
-            F.count_distinct("icd10cm_code").alias("icd10cm_code_count"),
+            _size_of("icd10cm_code").alias("icd10cm_code_count"),
             F.min_by("map_category_name", by_priority).alias("primary_map_category"),
         )
     )
@@ -384,7 +389,7 @@ def v_icd10cm_snomed_reverse(mapping: DataFrame) -> DataFrame:
         .agg(
             _set_of("snomed_concept_id").alias("snomed_concept_ids"),
             _set_of("snomed_concept_name").alias("snomed_concept_names"),
-            F.count_distinct("snomed_concept_id").alias("snomed_concept_count"),
+            _size_of("snomed_concept_id").alias("snomed_concept_count"),
         )
     )
 
@@ -520,7 +525,7 @@ def _codes_per(*keys: str) -> Callable[[DataFrame], DataFrame]:
     def view(crosswalk: DataFrame) -> DataFrame:
         return crosswalk.groupBy(*keys).agg(
             _set_of("ndc_11_digit").alias("ndc_codes"),
-            F.count_distinct("ndc_11_digit").alias("ndc_count"),
+            _size_of("ndc_11_digit").alias("ndc_count"),
         )
 
     return view
@@ -673,7 +678,7 @@ def v_rxnorm_prescribe_drugs_expanded(drugs: DataFrame, parts: DataFrame) -> Dat
     """Drugs with their ingredients, grouped by drug id before the join."""
     per_drug = parts.groupBy(c("drug_rxcui").alias("rxcui")).agg(
         _set_of("ingredient_name").alias("ingredients"),
-        F.count_distinct("ingredient_rxcui").alias("ingredient_count"),
+        _size_of("ingredient_rxcui").alias("ingredient_count"),
     )
     none = F.array().cast("array<string>")
     return drugs.join(per_drug, "rxcui", "left").select(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Set
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +25,18 @@ TEXT_TABLES: dict[str, Callable[..., DataFrame]] = {
 }
 
 
+def require(name: str, failed: Set[str]) -> str:
+    """The name of a stored table, refused if writing it failed earlier in the same run: what
+    is stored then is missing or left over from another run."""
+    if name in failed:
+        raise RuntimeError(f"needs {name}, which failed in this run")
+    return name
+
+
+def failures(results: Iterable[Written], layers: Layers, layer: str) -> set[str]:
+    return {layers.table(layer, r.table_name) for r in results if not r.success}
+
+
 def arguments(needs, find: Callable[[str], object], spark: SparkSession, as_of: dt.date) -> list:
     """Builder inputs by name: the session, the as-of date, or a table."""
     special = {"spark": spark, "as_of": as_of}
@@ -60,11 +72,18 @@ def build_lookups(
     files: Mapping[str, Callable[[], DataFrame]],
     layers: Layers,
     as_of: dt.date,
+    failed: set[str] | None = None,
 ) -> list[Written]:
-    """Lookup tables out of file readers by name; views are stored beside them."""
+    """Lookup tables out of file readers by name; views are stored beside them.
+
+    Tables that fail are added to ``failed``, and those that need them fail too.
+    """
+    failed = set() if failed is None else failed
 
     def find(name: str) -> DataFrame:
-        return files[name]() if name in files else spark.table(layers.table("bronze", name))
+        if name in files:
+            return files[name]()
+        return spark.table(require(layers.table("bronze", name), failed))
 
     def job(name: str):
         maker, needs = {**lookups.TABLES, **lookups.VIEWS}[name]
@@ -78,16 +97,26 @@ def build_lookups(
 
         return run
 
-    return [attempt("lookups", n, job(n)) for n in (*lookups.TABLES, *lookups.VIEWS)]
+    results = []
+    for name in (*lookups.TABLES, *lookups.VIEWS):
+        results.append(attempt("lookups", name, job(name)))
+        failed |= failures(results[-1:], layers, "bronze")
+    return results
+
 
+def build_cleaned(
+    spark: SparkSession, layers: Layers, as_of: dt.date, failed: Set[str] = frozenset()
+) -> list[Written]:
+    """Cleaned entities. A lookup table that was never there gives typed NULLs; one in
+    ``failed`` fails the entity."""
 
-def build_cleaned(spark: SparkSession, layers: Layers, as_of: dt.date) -> list[Written]:
     def lookup(name: str) -> DataFrame | None:
-        return optional_table(spark, layers.table("bronze", name))
+        return optional_table(spark, require(layers.table("bronze", name), failed))
 
     def job(entity: str):
         def run() -> Written:
-            raw = spark.table(layers.table("bronze", f"bronze_{cleaned.SPECS[entity].raw}"))
+            source = layers.table("bronze", f"bronze_{cleaned.SPECS[entity].raw}")
+            raw = spark.table(require(source, failed))
             built = cleaned.build(entity, raw, as_of, lookup)
             name = layers.table("silver", cleaned.TABLE_NAMES[entity])
             return write_table(built, name, "silver", "cleaned")
@@ -97,45 +126,41 @@ def build_cleaned(spark: SparkSession, layers: Layers, as_of: dt.date) -> list[W
     return [attempt("silver", cleaned.TABLE_NAMES[e], job(e)) for e in cleaned.SPECS]
 
 
-def mart_source(spark: SparkSession, layers: Layers) -> Callable[[str], DataFrame]:
+def mart_source(
+    spark: SparkSession, layers: Layers, failed: Set[str] = frozenset()
+) -> Callable[[str], DataFrame]:
     """Find mart tables in the gold layer and cleaned entities in the silver layer."""
 
     def find(name: str) -> DataFrame:
         if name in cleaned.TABLE_NAMES:
-            return spark.table(layers.table("silver", cleaned.TABLE_NAMES[name]))
-        return spark.table(layers.table("gold", name))
+            return spark.table(require(layers.table("silver", cleaned.TABLE_NAMES[name]), failed))
+        return spark.table(require(layers.table("gold", name), failed))
 
     return find
 
 
-# Tables whose rollups and joins meet on one key, when stored bucketed by it.
-BUCKET_KEYS = {
-    "dim_patient": "patient_key",
-    "fact_encounter": "patient_key",
-    "fact_condition": "patient_key",
-    "fact_medication": "patient_key",
-    "fact_procedure": "patient_key",
-}
-
-
 def build_mart(
-    spark: SparkSession, layers: Layers, as_of: dt.date, buckets: int | None = None
+    spark: SparkSession, layers: Layers, as_of: dt.date, failed: set[str] | None = None
 ) -> list[Written]:
-    """Star schema and CMS mart. With ``buckets``, tables that meet on the patient are
-    stored bucketed, and the patient summary then needs no shuffle of its facts."""
-    find = mart_source(spark, layers)
+    """Star schema and CMS mart. Facts are not bucketed: a bucket is one task when it is read,
+    and one patient may own a large share of them."""
+    failed = set() if failed is None else failed
+    find = mart_source(spark, layers, failed)
 
     def job(name: str):
         kind, maker, needs = MART[name]
-        bucket = (buckets, BUCKET_KEYS[name]) if buckets and name in BUCKET_KEYS else None
 
         def run() -> Written:
             built = maker(*arguments(needs, find, spark, as_of))
-            return write_table(built, layers.table("gold", name), "gold", kind, bucket_by=bucket)
+            return write_table(built, layers.table("gold", name), "gold", kind)
 
         return run
 
-    return [attempt("gold", name, job(name)) for name in MART]
+    results = []
+    for name in MART:
+        results.append(attempt("gold", name, job(name)))
+        failed |= failures(results[-1:], layers, "gold")
+    return results
 
 
 def build_all(
@@ -144,14 +169,25 @@ def build_all(
     files: Mapping[str, Callable[[], DataFrame]],
     layers: Layers,
     as_of: dt.date,
-    buckets: int | None = None,
+    keep_going: bool = False,
     **raw_options,
 ) -> DataFrame:
-    """Every table once, in dependency order; answers the run log."""
+    """Every table once, in dependency order; answers the run log.
+
+    A table that needs a failed one fails too, so nothing is built on missing lookups or on
+    tables left over from another run. With ``keep_going`` it takes whatever is stored.
+    """
+    failed: set[str] = set()
+
+    def known() -> set[str]:
+        return set() if keep_going else failed
+
     results = build_raw(spark, root, layers, **raw_options)
-    results += build_lookups(spark, files, layers, as_of)
-    results += build_cleaned(spark, layers, as_of)
-    results += build_mart(spark, layers, as_of, buckets)
+    failed |= failures(results, layers, "bronze")
+    results += build_lookups(spark, files, layers, as_of, known())
+    entities = build_cleaned(spark, layers, as_of, known())
+    failed |= failures(entities, layers, "silver")
+    results += entities + build_mart(spark, layers, as_of, known())
     return run_log(spark, results)
 
 

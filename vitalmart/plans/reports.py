@@ -233,23 +233,25 @@ def diagnoses_of_top_claims(
     names = diagnoses.select(
         F.coalesce("icd10cm_code", "diagnosis_code").alias("code"), "diagnosis_code", "description"
     )
-    return names.join(F.broadcast(coded), "code").select(
+    return names.join(coded, "code").select(
         "claim_id", "claim_payment_amount", "code", "diagnosis_code", "description"
     )
 
 
 def predicted_amounts(claims: DataFrame, beneficiary: DataFrame) -> DataFrame:
     """Every claimant with the mean payment of claimants of the same state and gender."""
-    joined = _with_person(claims, beneficiary)
-    means = joined.groupBy("state", "gender").agg(
-        F.avg("claim_payment_amount").alias("predicted_amount")
+    own = claims.groupBy("beneficiary_key", "beneficiary_code").agg(
+        F.sum("claim_payment_amount").alias("claim_payment_amount"),
+        F.count("claim_payment_amount").alias("payments"),
     )
-    claimants = joined.select("beneficiary_code", "state", "gender").distinct()
-    same_group = claimants["state"].eqNullSafe(means["state"]) & claimants["gender"].eqNullSafe(
-        means["gender"]
+    claimants = _with_person(own, beneficiary)
+    mean = (F.sum("claim_payment_amount") / F.sum("payments")).cast("decimal(22,6)")
+    means = claimants.groupBy(c("state").alias("_state"), c("gender").alias("_gender")).agg(
+        mean.alias("predicted_amount")
     )
+    same_group = c("state").eqNullSafe(c("_state")) & c("gender").eqNullSafe(c("_gender"))
     return claimants.join(means, same_group, "left").select(
-        "beneficiary_code", claimants["state"], claimants["gender"], "predicted_amount"
+        "beneficiary_code", "state", "gender", "predicted_amount"
     )
 
 

@@ -597,17 +597,22 @@ def agg_payer_statistics(payers: DataFrame, claims: DataFrame) -> DataFrame:
 def agg_financial_summary(encounters: DataFrame, dates: DataFrame) -> DataFrame:
     """Money and volume per month, over encounters inside the calendar.
 
-    The calendar holds one row per day of a fixed span, so it is broadcast.
+    Distinct counts are made apart from the sums, each over its own distinct pairs, and the
+    monthly rows are joined; one aggregate for all would repeat every encounter four times.
     """
-    months = dates.select("date_key", "year", "quarter", "month")
+    month = ["year", "quarter", "month"]
+    placed = encounters.join(
+        dates.select("date_key", *month), c("start_date_key") == c("date_key")
+    )
+
+    def unique(key: str, name: str) -> DataFrame:
+        pairs = placed.select(*month, key).distinct()
+        return pairs.groupBy(*month).agg(F.count(key).alias(name))
+
     return (
-        encounters.join(F.broadcast(months), c("start_date_key") == c("date_key"))
-        .groupBy("year", "quarter", "month")
+        placed.groupBy(*month)
         .agg(
             F.count("*").alias("total_encounters"),
-            F.count_distinct("patient_key").alias("unique_patients"),
-            F.count_distinct("provider_key").alias("unique_providers"),
-            F.count_distinct("organization_key").alias("unique_organizations"),
             count_where("is_emergency").alias("emergency_encounters"),
             count_where("is_inpatient").alias("inpatient_encounters"),
             count_where("is_ambulatory").alias("ambulatory_encounters"),
@@ -621,6 +626,9 @@ def agg_financial_summary(encounters: DataFrame, dates: DataFrame) -> DataFrame:
             F.sum("duration_minutes").alias("total_duration_minutes"),
             F.avg("duration_minutes").alias("avg_duration_minutes"),
         )
+        .join(unique("patient_key", "unique_patients"), month)
+        .join(unique("provider_key", "unique_providers"), month)
+        .join(unique("organization_key", "unique_organizations"), month)
         .withColumns(
             {
                 "payer_coverage_rate_pct": pct(c("total_payer_coverage"), c("total_claim_cost")),

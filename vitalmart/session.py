@@ -29,6 +29,7 @@ def local_session(cores: int | str = "*", app: str = "vitalmart", **extra) -> Sp
         "spark.driver.memory": "8g",
         # Call-site capture per column expression triples the time wide plans take to build.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        **({} if "spark.checkpoint.dir" in extra else {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="vitalmart-")}),
         **extra,
     }
     for key, value in settings.items():
@@ -41,12 +42,9 @@ def local_session(cores: int | str = "*", app: str = "vitalmart", **extra) -> Sp
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``.
 
-    A local master without that setting gets a temporary folder; any other master must
-    name a shared folder, since executors cannot see each other's local disks.
+    The session must name that folder, since executors cannot see each other's local disks.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="vitalmart-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -80,14 +80,19 @@ def write_table(
     """Overwrite a Parquet table in one job; rows are counted while they are written.
 
     ``bucket_by`` (bucket count, column) stores a table hashed and sorted by its join key,
-    so later joins and rollups on that key need no shuffle.
+    so later joins and rollups on that key need no shuffle. A bucket is one task when it is
+    read, so this is for tables with few rows per key.
     """
     seen = Observation()
     counted = with_refresh_times(df, kind).observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.format("parquet").mode("overwrite").option("overwriteSchema", True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if bucket_by:
+    if bucket_by:  # a task holds whole buckets, so there is one file per bucket
+        count, column = bucket_by
+        counted = counted.repartition(count, column)
+        writer = counted.write.format("parquet").mode("overwrite").option("overwriteSchema", True)
+        writer = writer.partitionBy(*partition_by) if partition_by else writer
         writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
     began = time.monotonic()
     writer.saveAsTable(name)
@@ -101,7 +106,7 @@ def attempt(stage: str, name: str, write: Callable[[], Written]) -> Written:
         return replace(write(), table_name=name)
     except Exception as problem:  # noqa: BLE001 - recorded, not hidden
         took = round(time.monotonic() - began, 3)
-        return Written(stage, name, 0, took, False, str(problem)[:2000])
+        return Written(stage, name, 0, took, False, str(problem))
 
 
 RUN_LOG_SCHEMA = (
