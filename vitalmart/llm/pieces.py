@@ -15,7 +15,8 @@ _NO_CUT = re.compile(
     rb" (?=[\x09-\x0d\x1c-\x20]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|\Z)"
 )
 _FIRST = b"\xff"  # marks a piece that has no space before it; no UTF-8 text has this byte
-GENERATION = 400_000
+GENERATION = 250_000
+STOPS = b",."
 
 
 def keys_of(raw: bytes) -> list[bytes]:
@@ -69,16 +70,31 @@ class PieceTable:
         needed: set[bytes] = set()
         for k in keys:
             needed.update(k)
-        new = []
-        for k in needed.difference(young):
-            ids = old.get(k)
+        here: dict[bytes, bytes] = {}
+        stems, wanted = [], set()
+        for k in needed:
+            ids = young.get(k)
             if ids is None:
-                new.append(k)
+                ids = old.get(k)
+                if ids is not None:
+                    young[k] = ids
+            if ids is not None:
+                here[k] = ids
+            elif k[-1] in STOPS and k[-2:-1].isalpha():
+                stems.append(k)  # a stop behind an ASCII letter is a token of its own
             else:
-                young[k] = ids
-        if new:
+                wanted.add(k)
+        for k in stems:
+            for part in (k[:-1], _FIRST + k[-1:]):
+                if self.known(part) is None:
+                    wanted.add(part)
+        if wanted:
+            new = list(wanted)
             young.update(zip(new, self.learn([piece_of(k) for k in new]), strict=True))
-        get = young.__getitem__
+            here.update((k, young[k]) for k in new)
+        for k in stems:
+            here[k] = self.known(k[:-1]) + self.known(_FIRST + k[-1:])
+        get = here.__getitem__
         out = [b"".join(map(get, k)) for k in keys]
         for n in [n for n, w in enumerate(whole) if w]:
             out[n] = self.learn([texts[n]])[0]

@@ -61,8 +61,8 @@ class LibraryEncoder:
 
     def _library(self, parts: list[str]) -> list[bytes]:
         out: list[bytes] = []
-        for at in range(0, len(parts), 20_000):  # the library's results are large while they last
-            found = self.tokenizer.encode_batch_fast(parts[at : at + 20_000], add_special_tokens=False)
+        for at in range(0, len(parts), 5_000):  # the library's results are large while they last
+            found = self.tokenizer.encode_batch_fast(parts[at : at + 5_000], add_special_tokens=False)
             out += [np.array(x.ids, self.kind).tobytes() for x in found]
         return out
 
