@@ -37,6 +37,7 @@ BLOCK_BYTES = 3 << 20
 BUCKET_BYTES = 1 << 20  # of all text, for each bucket of anchors
 PIECE = 1 << 17
 HOT_BLOCKS = 2000
+SORT_BYTES = 1 << 18  # of pieces, for each suffix array
 ALONE = 2**16 - 1  # marks a window of a hot anchor, which is sent by itself
 _BASE = 0x9E3779B97F4A7C15
 
@@ -433,10 +434,17 @@ def remove_repeats(
             of_row.append(np.array(mine, np.int64))
         strings, smallest = list(number), np.array(least, np.int64)
         parts: dict[int, list[tuple[int, int]]] = {}
-        # a piece that alone has its anchor shares no window with any other piece
-        some = [k for ks in of_anchor.values() if len(ks) > 1 for k in ks]
-        for n, a, b in earlier_matches([strings[k] for k in some], smallest[some], length):
-            parts.setdefault(some[n], []).append((a, b))
+        # Only pieces of one anchor can share a window, so anchors are taken a few at a time.
+        some: list[int] = []
+        held, last = 0, len(of_anchor) - 1
+        for n_anchor, ks in enumerate(of_anchor.values()):
+            if len(ks) > 1:
+                some += ks
+                held += sum(len(strings[k]) for k in ks)
+            if some and (held >= SORT_BYTES or n_anchor == last):
+                for n, a, b in earlier_matches([strings[k] for k in some], smallest[some], length):
+                    parts.setdefault(some[n], []).append((a, b))
+                some, held = [], 0
         sizes = np.array([len(s) for s in strings], np.int64)
         out = []
         columns = ("block", "piece", "ids", "docs", "starts")
