@@ -85,10 +85,10 @@ def product_ndc(p: str) -> str:
 
 
 # One code of each chronic condition set, used for some parts.
-CHRONIC_SAMPLE = (
-    "26929004 42343007 709044004 363346000 13645005 35489007 "
-    "44054006 414545008 64859006 69896004 230690007 90688005"
-).split()
+CHRONIC_SAMPLE = [
+    "26929004", "42343007", "709044004", "363346000", "13645005", "35489007", "44054006",
+    "414545008", "64859006", "69896004", "230690007", "90688005",
+]
 
 
 def condition_code(p: str) -> str:

@@ -266,10 +266,11 @@ def fact_cms_prescription_drug_events(medication: DataFrame) -> DataFrame:
 
 
 # The line amounts of a carrier claim, which all carry the procedure cost.
-LINE_AMOUNTS = (
-    "line_nch_pmt_amt line_bene_pmt_amt line_prvdr_pmt_amt line_bene_ptb_ddctbl_amt "
-    "line_bene_prmry_pyr_pd_amt line_coinsrnc_amt line_sbmtd_chrg_amt line_alowd_chrg_amt"
-).split()
+LINE_AMOUNTS = [
+    "line_nch_pmt_amt", "line_bene_pmt_amt", "line_prvdr_pmt_amt", "line_bene_ptb_ddctbl_amt",
+    "line_bene_prmry_pyr_pd_amt", "line_coinsrnc_amt", "line_sbmtd_chrg_amt",
+    "line_alowd_chrg_amt",
+]
 
 
 def fact_cms_carrier_claims(encounter: DataFrame, procedure: DataFrame) -> DataFrame:

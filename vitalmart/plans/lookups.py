@@ -238,20 +238,21 @@ def ndc_package(rows: DataFrame) -> DataFrame:
 
 
 # Columns of the package and product view.
-PACKAGE_PART = (
-    "ndc_package_code ndc_11_digit labeler_code product_code package_code package_description"
-).split()
-PRODUCT_PART = (
-    "proprietary_name proprietary_name_suffix nonproprietary_name dosage_form_name route_name "
-    "labeler_name substance_name active_numerator_strength active_ingred_unit pharm_classes "
-    "dea_schedule marketing_category_name application_number product_type_name "
-    "is_prescription is_otc is_controlled"
-).split()
-NDC_LOOKUP_PART = (
-    "proprietary_name nonproprietary_name dosage_form_name route_name labeler_name "
-    "substance_name active_numerator_strength active_ingred_unit is_prescription "
-    "is_controlled dea_schedule"
-).split()
+PACKAGE_PART = [
+    "ndc_package_code", "ndc_11_digit", "labeler_code", "product_code", "package_code",
+    "package_description",
+]
+PRODUCT_PART = [
+    "proprietary_name", "proprietary_name_suffix", "nonproprietary_name", "dosage_form_name",
+    "route_name", "labeler_name", "substance_name", "active_numerator_strength",
+    "active_ingred_unit", "pharm_classes", "dea_schedule", "marketing_category_name",
+    "application_number", "product_type_name", "is_prescription", "is_otc", "is_controlled",
+]
+NDC_LOOKUP_PART = [
+    "proprietary_name", "nonproprietary_name", "dosage_form_name", "route_name", "labeler_name",
+    "substance_name", "active_numerator_strength", "active_ingred_unit", "is_prescription",
+    "is_controlled", "dea_schedule",
+]
 
 
 def v_ndc_complete(packages: DataFrame, products: DataFrame) -> DataFrame:
