@@ -512,7 +512,7 @@ class Raw:
     def _parts(self, layout: str, columns: dict[str, str], df: DataFrame | None = None) -> DataFrame:
         from vitalmart.sources import layouts
 
-        known = {**layouts.PIPE_COLUMNS, **layouts.TAB_COLUMNS}[layout].split()
+        known = {**layouts.PIPE_COLUMNS, **layouts.TAB_COLUMNS}[layout]
         texts = [f"cast({columns.get(c, 'null')} as string) as {c}" for c in known]
         return (self.given("part") if df is None else df).selectExpr(*texts)
 
