@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitalmart.llm.common import computed, named, slices
+from vitalmart.llm.common import computed, named, slices, take_over
 from vitalmart.llm.pieces import PieceTable
 
 #: Fixed value: the pattern that splits text before merges in byte-level vocabularies.
@@ -179,6 +179,7 @@ class Codec:
     @classmethod
     def of(cls, path: str) -> Codec:
         """One per worker process and file."""
+        take_over("bpe", cls._open.clear)
         if path not in cls._open:
             cls._open[path] = cls(path)
         return cls._open[path]

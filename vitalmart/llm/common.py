@@ -15,6 +15,21 @@ from pyspark.sql import types as T
 MAX_ID = 2**63 - 1
 
 
+_held: dict[str, Callable[[], None]] = {}
+
+
+def take_over(operator: str, clear: Callable[[], None] | None = None) -> None:
+    """Called by an operator's Python code in a worker process, which Spark uses again for
+    other tasks: lets go of what other operators hold there, and notes how to clear its own."""
+    others = [name for name in _held if name != operator]
+    for name in others:
+        _held.pop(name)()
+    if others:
+        pa.default_memory_pool().release_unused()
+    if clear is not None:
+        _held[operator] = clear
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor reaches.
 

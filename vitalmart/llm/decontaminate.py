@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalmart.llm.common import named, placed, slices
+from vitalmart.llm.common import named, placed, slices, take_over
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
@@ -171,6 +171,7 @@ def keep_clean(
 
 def _searcher(patterns: dict[tuple[bytes, ...], set[str]], text_name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("decontaminate")
         engine = WuManber(patterns)
         for whole in batches:
             for batch in slices(whole, text_name):

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitalmart.llm.common import computed, named, texts
+from vitalmart.llm.common import computed, named, take_over, texts
 
 WIDTH = 6
 FILTERS = 16
@@ -195,6 +195,7 @@ def sample(docs: DataFrame, labels: DataFrame, *, max_docs: int = MAX_DOCS, max_
 
 def _scored(docs: DataFrame, net: Network, columns: tuple[str, ...], text_col: str) -> DataFrame:
     def run(batch: list[str]):
+        take_over("quality")
         return [pa.array(probabilities(net, [t.encode() for t in batch]), pa.float64())]
 
     return computed(docs, columns, text_col, [T.StructField("score", T.DoubleType())], run, 1 << 20)

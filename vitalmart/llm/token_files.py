@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from vitalmart.llm.common import parts_for, shared_path, slices, stored, text_bytes, texts
+from vitalmart.llm.common import parts_for, shared_path, slices, stored, take_over, text_bytes, texts
 from vitalmart.llm.pieces import PieceTable
 
 LENGTH = 2048
@@ -55,6 +55,7 @@ class LibraryEncoder:
     @classmethod
     def of(cls, path: str) -> LibraryEncoder:
         """One per worker process and file."""
+        take_over("token_files", cls._open.clear)
         if path not in cls._open:
             cls._open[path] = cls(path)
         return cls._open[path]
