@@ -104,3 +104,18 @@ def test_pipeline_does_what_its_stages_decide(spark, sf_dir):
     third = corpus_pipeline.STAGES[2][1](spark, first, sf_dir)
     assert {r["doc_id"] for r in third.collect()} == groups
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
+
+
+def test_encode_then_decode_with_carried_columns(odd):
+    coded = bpe.encode(odd, queries.TOKENIZER, carry=("lang", "score", "ids"))
+    assert coded.columns == ["doc_id", "lang", "score", "ids"]
+    back = bpe.decode(coded, queries.TOKENIZER)
+    got = sorted(((r["doc_id"], r["decoded"]) for r in back.collect()), key=repr)
+    assert got == sorted(((r["doc_id"], r["text"] or "") for r in odd.collect()), key=repr)
+
+
+def test_workers_let_go_of_other_operators_tables():
+    bpe.Codec.of(queries.TOKENIZER).encode(["some text"])
+    assert bpe.Codec._open
+    token_files.LibraryEncoder.of(queries.TOKENIZER).encode(["some text"])
+    assert not bpe.Codec._open and token_files.LibraryEncoder._open
