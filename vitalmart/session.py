@@ -29,7 +29,6 @@ def local_session(cores: int | str = "*", app: str = "vitalmart", **extra) -> Sp
         "spark.driver.memory": "8g",
         # Call-site capture per column expression triples the time wide plans take to build.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
-        **({} if "spark.checkpoint.dir" in extra else {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="vitalmart-")}),
         **extra,
     }
     for key, value in settings.items():
@@ -42,9 +41,11 @@ def local_session(cores: int | str = "*", app: str = "vitalmart", **extra) -> Sp
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``.
 
-    The session must name that folder, since executors cannot see each other's local disks.
+    A cluster names that folder, since executors cannot see each other's local disks; where
+    the setting is absent, as in tests, one is made and set for the session.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        shared = tempfile.mkdtemp(prefix="vitalmart-")
+        spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
