@@ -15,7 +15,7 @@ _NO_CUT = re.compile(
     rb" (?=[\x09-\x0d\x1c-\x20]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|\Z)"
 )
 _FIRST = b"\xff"  # marks a piece that has no space before it; no UTF-8 text has this byte
-GENERATION = 250_000
+GENERATION = 300_000
 STOPS = b",."
 
 
@@ -70,16 +70,11 @@ class PieceTable:
         needed: set[bytes] = set()
         for k in keys:
             needed.update(k)
-        here: dict[bytes, bytes] = {}
         stems, wanted = [], set()
-        for k in needed:
-            ids = young.get(k)
-            if ids is None:
-                ids = old.get(k)
-                if ids is not None:
-                    young[k] = ids
+        for k in needed.difference(young):
+            ids = old.get(k)
             if ids is not None:
-                here[k] = ids
+                young[k] = ids
             elif k[-1] in STOPS and k[-2:-1].isalpha():
                 stems.append(k)  # a stop behind an ASCII letter is a token of its own
             else:
@@ -91,11 +86,12 @@ class PieceTable:
         if wanted:
             new = list(wanted)
             young.update(zip(new, self.learn([piece_of(k) for k in new]), strict=True))
-            here.update((k, young[k]) for k in new)
-        for k in stems:
-            here[k] = self.known(k[:-1]) + self.known(_FIRST + k[-1:])
-        get = here.__getitem__
+        for k in stems:  # made anew where they are needed, so that they take no lasting room
+            young[k] = self.known(k[:-1]) + self.known(_FIRST + k[-1:])
+        get = young.__getitem__
         out = [b"".join(map(get, k)) for k in keys]
+        for k in stems:
+            del young[k]
         for n in [n for n, w in enumerate(whole) if w]:
             out[n] = self.learn([texts[n]])[0]
         return out
