@@ -224,6 +224,17 @@ SELECT "year", "quarter", "month", "year" || '-Q' || "quarter" year_quarter, str
   {per_head('count(*)', 'count(DISTINCT patient_key)')} avg_encounters_per_patient
 FROM fact_encounter JOIN dim_date ON start_date_key = date_key GROUP BY 1, 2, 3, 4, 5
 """)
+part("dim_date_of_encounters", "c_encounter")(
+    PARTS["dim_date"][1].replace(
+        "DATE '2000-01-01', DATE '2031-01-01'",
+        """
+  (SELECT make_date(least(2000, year(min(start_datetime)), year(min(end_datetime))), 1, 1) FROM c_encounter),
+  (SELECT make_date(greatest(2030, year(max(start_datetime)), year(max(end_datetime))) + 1, 1, 1) FROM c_encounter)""",
+    )
+)
+part("agg_financial_summary_of_encounters", "fact_encounter", "dim_date_of_encounters")(
+    PARTS["agg_financial_summary"][1].replace("JOIN dim_date ", "JOIN dim_date_of_encounters ")
+)
 READMIT = f"""
 SELECT year(start_date)::INT "year", quarter(start_date)::INT "quarter", month(start_date)::INT "month",
   count(*) total_admissions, count(DISTINCT patient_key) unique_patients,
@@ -472,6 +483,8 @@ DECIMALS = {
     "agg_medication_utilization": "total_medication_cost total_base_cost total_payer_coverage total_patient_cost",
     "agg_payer_statistics": "total_submitted total_approved total_paid total_outstanding quality_of_life_score_avg",
     "agg_financial_summary": "total_base_cost total_claim_cost total_payer_coverage total_patient_responsibility",
+    "agg_financial_summary_of_encounters": "total_base_cost total_claim_cost "
+    "total_payer_coverage total_patient_responsibility",
     "fact_cms_inpatient_claims": "clm_pmt_amt nch_prmry_pyr_clm_pd_amt nch_bene_blood_ddctbl_lblty_am "
     "nch_bene_ip_ddctbl_amt nch_bene_pta_coinsrnc_lblty_amt",
     "fact_cms_outpatient_claims": "clm_pmt_amt nch_prmry_pyr_clm_pd_amt nch_bene_blood_ddctbl_lblty_am",

@@ -141,3 +141,16 @@ def test_cleaning_applies_to_streams(spark, sf_dir, tmp_path):
     )
     query.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == raw.count()
+
+
+def test_calendar_of_the_mart_has_the_days_of_all_encounters(spark, sf_dir):
+    clinic = Clinic(spark, sf_dir)
+    _, maker, needs = star.TABLES["dim_date"]
+    dates = maker(*[clinic[n] for n in needs])
+    facts = clinic["fact_encounter"]
+    monthly = star.agg_financial_summary(facts, dates)
+    assert monthly.agg(F.sum("total_encounters")).first()[0] == facts.count()
+    for key in ("start_date_key", "end_date_key"):
+        days = facts.where(facts[key].isNotNull()).select(F.col(key).alias("date_key"))
+        assert days.join(dates, "date_key", "left_anti").count() == 0
+    assert maker(clinic["encounter"].limit(0)).count() == star.dim_date(spark).count()

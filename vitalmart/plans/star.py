@@ -60,12 +60,10 @@ def zero_filled(*columns: str) -> list[Column]:
 # --- dimensions ------------------------------------------------------------------------
 
 
-def dim_date(spark: SparkSession, start_year: int = 2000, end_year: int = 2030) -> DataFrame:
-    """One row per calendar day, generated by row number so any span is distributed."""
-    first, past = dt.date(start_year, 1, 1), dt.date(end_year + 1, 1, 1)
-    days = spark.range((past - first).days)
+def _calendar(days: DataFrame) -> DataFrame:
+    """The attributes of each day of column ``date``."""
     day = c("date")
-    return days.select(F.date_add(F.lit(first), c("id").cast("int")).alias("date")).select(
+    return days.select(
         date_key(day).alias("date_key"),
         day,
         F.year(day).alias("year"),
@@ -84,6 +82,33 @@ def dim_date(spark: SparkSession, start_year: int = 2000, end_year: int = 2030)
     )
 
 
+def dim_date(spark: SparkSession, start_year: int = 2000, end_year: int = 2030) -> DataFrame:
+    """One row per calendar day, generated by row number so any span is distributed."""
+    first, past = dt.date(start_year, 1, 1), dt.date(end_year + 1, 1, 1)
+    days = spark.range((past - first).days)
+    return _calendar(days.select(F.date_add(F.lit(first), c("id").cast("int")).alias("date")))
+
+
+def dim_date_of_encounters(
+    encounter: DataFrame, start_year: int = 2000, end_year: int = 2030
+) -> DataFrame:
+    """The calendar from the first to the last year given, widened to whole years until every
+    encounter meets the days it starts and ends on.
+
+    The span is one aggregate over the encounters, taken when the frame runs. Encounters
+    without dates, or none at all, leave the years given.
+    """
+    start, end = F.to_date("start_datetime"), F.to_date("end_datetime")
+    seen = encounter.agg(
+        F.least(F.min(start), F.min(end)).alias("first"),
+        F.greatest(F.max(start), F.max(end)).alias("last"),
+    )
+    first = F.least(F.year("first"), F.lit(start_year))
+    last = F.greatest(F.year("last"), F.lit(end_year))
+    span = F.sequence(F.make_date(first, F.lit(1), F.lit(1)), F.make_date(last, F.lit(12), F.lit(31)))
+    return _calendar(seen.select(F.explode(span).alias("date")))
+
+
 def dim_patient(patient: DataFrame) -> DataFrame:
     parts = ("name_prefix", "first_name", "middle_name", "last_name", "name_suffix")
     loaded = {"source_last_updated": "last_updated"} if "last_updated" in patient.columns else {}
@@ -727,7 +752,7 @@ def agg_readmission_rates(encounters: DataFrame, basis: str = "start_to_start")
 # Kind, builder and inputs of each table, in build order. Inputs are cleaned entities,
 # earlier tables of this list, or the as-of date.
 TABLES: dict[str, tuple[str, Callable[..., DataFrame], Sequence[str]]] = {
-    "dim_date": ("dimension", dim_date, ("spark",)),
+    "dim_date": ("dimension", dim_date_of_encounters, ("encounter",)),
     "dim_patient": ("dimension", dim_patient, ("patient",)),
     "dim_provider": ("dimension", dim_provider, ("practitioner",)),
     "dim_organization": ("dimension", dim_organization, ("organization",)),
