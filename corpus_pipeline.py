@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalmart.llm import bpe, decontaminate, lines, ngram_join, quality
-from vitalmart.llm.common import stored
+from vitalmart.llm.common import fresh, stored
 from vitalmart.llm.queries import TOKENIZER
 
 
@@ -33,12 +33,28 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the smallest id of each group of near-duplicates, once.
 
-    Five-word shingles, four fifths in common. Documents without words are in no group and
-    stay, as do those without an id.
+    Five-word shingles, four fifths in common. A document is an id with a text: rows of equal
+    id and text (NULL and empty alike) are one, that of the smallest other columns, and
+    different texts of one id are documents of their own, in the order of ``lines.row_key``.
+    Documents without words are in no group and stay, as do all rows without an id.
     """
-    found = ngram_join.join(docs).where(F.col("doc_id") != F.col("component_id"))
-    left = docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+    key, place = fresh(docs, "__key"), fresh(docs, "__place")
+    keyed = docs.where("doc_id is not null").withColumn(key, lines.row_key("doc_id", "text"))
+    texts_of = keyed.groupBy("doc_id").agg(F.min(key).alias("low"), F.max(key).alias("high"))
+
+    def once(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(key).agg(F.min(F.struct(docs.columns)).alias("row")).select("row.*", key)
+
+    if texts_of.where("low <> high").isEmpty():
+        found = ngram_join.join(docs).where(F.col("doc_id") != F.col("component_id"))
+        left = once(keyed.join(found.select("doc_id").distinct(), "doc_id", "left_anti"))
+    else:
+        # Ids do not tell these documents apart, so they are numbered.
+        rows = stored(once(keyed).withColumn(place, F.monotonically_increasing_id()), "pipeline-rows")
+        found = ngram_join.join(rows, id_col=place).select(F.col("doc_id").alias(place), "component_id")
+        first = rows.join(found, place).groupBy("component_id").agg(F.min_by(place, F.struct("doc_id", key)).alias(place))
+        left = rows.join(first, place, "left_semi")
+    return left.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -94,6 +94,18 @@ def test_stages_keep_the_columns(spark, odd, none, tmp_path):
     assert last(spark, odd, str(tmp_path)).count() == odd.count() and last(spark, none, str(tmp_path)).count() == 0
 
 
+def test_different_texts_of_one_id_are_documents_of_their_own(spark, tmp_path):
+    def text(topic, n=60):
+        return " ".join(f"{topic}{k}" for k in range(n))
+
+    rows = [(3, text("a"), "en"), (5, text("a") + " end", "en"), (5, text("b"), "en"), (5, text("c"), "fr"), (5, text("c"), "de")]
+    rows += [(7, text("b") + " end", "en"), (7, "", "en"), (None, text("a"), "en"), (None, text("a"), "en")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(5)
+    kept = corpus_pipeline.one_of_each(spark, docs, str(tmp_path)).collect()
+    expected = [(3, text("a"), "en"), (5, text("b"), "en"), (5, text("c"), "de"), (7, "", "en"), *[(None, text("a"), "en")] * 2]
+    assert sorted(map(tuple, kept), key=repr) == sorted(expected, key=repr)
+
+
 def test_pipeline_does_what_its_stages_decide(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
