@@ -252,6 +252,17 @@ def test_decontaminate(spark, sf_dir, documents, texts_of, block_bytes):
         assert {k for s in r["spans"] for k in range(s["start"], s["end"])} == hit
 
 
+def test_benchmark_items_do_not_pass_through_the_driver(spark, monkeypatch):
+    def refuse(*args, **kwargs):
+        raise AssertionError("items on the driver")
+
+    monkeypatch.setattr(type(spark.range(0)), "toLocalIterator", refuse)
+    monkeypatch.setattr(decontaminate, "windows_of", refuse)  # pickled by name: only the driver's is replaced
+    items = spark.range(200).selectExpr("id as item_id", "concat_ws(' ', transform(sequence(1, 40), k -> concat('w', id, 'x', k))) as text")
+    found = decontaminate.find_items(items.selectExpr("item_id as doc_id", "text"), items, block_bytes=3000)
+    assert found.count() == 200 and all(r["items"] == [str(r["doc_id"])] for r in found.collect())
+
+
 def test_quality_on_held_out_labels(spark, sf_dir):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
     rows = queries.op8_quality(spark, sf_dir).collect()

@@ -5,9 +5,10 @@ search may jump after seeing a block; blocks that end a test string have shift 0
 bucket of such a block holds the test strings that end with it, which are then compared
 word by word. A document of n clean words is read in about n / 12 steps.
 
-Documents are not shuffled: the search is a map over them, once per block of items. Items
-are taken in blocks of at most ``block_bytes`` of text, so the tables a task holds are
-bounded however long the benchmark is.
+Documents are not shuffled: the search is one map over them. Distinct items are dealt by hash
+to blocks of about ``block_bytes`` of text, which Spark writes to the shared folder; a task reads
+one block after another from there. So a task holds the tables of one block, and the driver
+only the folder's path, however long the benchmark is.
 """
 
 from __future__ import annotations
@@ -17,10 +18,12 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalmart.llm.common import named, placed, slices, take_over
+from vitalmart.llm.common import named, parts_for, placed, shared_path, slices, take_over, text_bytes
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
@@ -85,18 +88,32 @@ def windows_of(text: str | None, window: int = WINDOW) -> set[tuple[bytes, ...]]
     return {tuple(words[i : i + window]) for i in range(len(words) - window + 1)}
 
 
-def _item_blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[str | None, str]]]:
-    """The items in blocks of bounded size; the driver holds one at a time."""
-    block: list[tuple[str | None, str]] = []
-    size = 0
-    for item, text in items.toLocalIterator():
-        if block and size + len(text) > block_bytes:
-            yield block
-            block, size = [], 0
-        block.append((item, text))
-        size += len(text)
-    if block:
-        yield block
+def _item_blocks(items: DataFrame, block_bytes: int) -> tuple[str, int]:
+    """Writes the distinct items in blocks of bounded size; the folder and how many blocks.
+
+    A single item is never divided, however long its text is.
+    """
+    blocks = parts_for(text_bytes(items), block_bytes)
+    path = shared_path(items.sparkSession, "benchmark-items")
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    dealt = items.distinct().withColumn("block", block).repartition("block")
+    dealt.write.partitionBy("block").parquet(path)
+    return path, blocks
+
+
+def _patterns_of(path: str, block: int, window: int) -> dict[tuple[bytes, ...], set[str]]:
+    """The windows of one block with the ids of their items; a block may have no file."""
+    system, place = fs.FileSystem.from_uri(path)
+    patterns: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
+    for file in system.get_file_info(fs.FileSelector(f"{place}/block={block}", allow_not_found=True)):
+        if not file.path.endswith(".parquet"):
+            continue
+        with system.open_input_file(file.path) as opened:
+            rows = pq.ParquetFile(opened).read(["item_id", "text"]).to_pydict()
+        for item, text in zip(rows["item_id"], rows["text"], strict=True):
+            for w in windows_of(text, window):
+                patterns[w].update(() if item is None else (item,))
+    return dict(patterns)
 
 
 def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -116,26 +133,17 @@ EMPTY_SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
 def _searched(docs: DataFrame, items: DataFrame, columns: tuple[str, ...], text_col: str, window: int, block_bytes: int) -> DataFrame:
-    """Columns by place, then ``n_words``, ``spans`` and ``items``: one map a block of items."""
+    """Columns by place, then ``n_words``, ``spans`` and ``items``, from one map."""
     frame, text = placed(docs, columns, text_col)
-    frame = frame.select(
+    found = frame.select(
         "*",
         F.lit(0).cast("long").alias("n_words"),
         F.lit(None).cast(EMPTY_SPANS).alias("spans"),
         F.lit(None).cast("array<string>").alias("items"),
     )
     bench = items.where(F.length("text") > 0).select(F.col("item_id").cast("string"), "text")
-
-    def search(block):
-        patterns: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
-        for item, body in block:
-            for w in windows_of(body, window):
-                patterns[w].update(() if item is None else (item,))
-        return _searcher(dict(patterns), text)
-
-    for block in [search(b) for b in _item_blocks(bench, block_bytes)] or [_searcher({}, text)]:
-        frame = frame.mapInArrow(block, frame.schema)
-    return frame
+    path, blocks = _item_blocks(bench, block_bytes)
+    return frame.mapInArrow(_searcher(path, blocks, window, text), found.schema)
 
 
 def find_items(
@@ -169,33 +177,37 @@ def keep_clean(
     return found.where(~is_contaminated(n_hit(), F.col("n_words"))).select(*named(docs.columns))
 
 
-def _searcher(patterns: dict[tuple[bytes, ...], set[str]], text_name: str):
+def _searcher(path: str, blocks: int, window: int, text_name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         take_over("decontaminate")
-        engine = WuManber(patterns)
+        held: dict[int, WuManber] = {}
+
+        def engine_of(block: int) -> WuManber:
+            if block not in held:
+                held.clear()
+                held[block] = WuManber(_patterns_of(path, block, window))
+            return held[block]
+
+        # With several blocks, each is read once a slice, so slices are larger.
+        most = (4 if blocks == 1 else 64) << 20
         for whole in batches:
-            for batch in slices(whole, text_name):
-                n_words, spans, found = [], [], []
-                for text, old_spans, old_items in zip(
-                    batch.column(text_name).to_pylist(),
-                    batch.column("spans").to_pylist(),
-                    batch.column("items").to_pylist(),
-                    strict=True,
-                ):
-                    words = words_of(text)
-                    hits = [(s["start"], s["end"]) for s in old_spans or ()]
-                    names = set(old_items or ())
-                    for start, p in engine.find(words):
-                        hits.append((start, start + len(p)))
-                        names |= engine.patterns[p]
-                    n_words.append(len(words))
-                    spans.append([{"start": a, "end": b} for a, b in _joined(hits)])
-                    found.append(sorted(names))
-                out = batch
-                for name, values in (("n_words", n_words), ("spans", spans), ("items", found)):
-                    k = out.schema.get_field_index(name)
-                    out = out.set_column(k, out.schema.field(k), pa.array(values, out.schema.field(k).type))
-                yield out
+            for batch in slices(whole, text_name, most):
+                texts = batch.column(text_name)
+                n_words = [0] * batch.num_rows
+                hits: list[list[tuple[int, int]]] = [[] for _ in n_words]
+                names: list[set[str]] = [set() for _ in n_words]
+                for block in range(blocks):
+                    engine = engine_of(block)
+                    for row, text in enumerate(texts):
+                        words = words_of(text.as_py())
+                        n_words[row] = len(words)
+                        for start, p in engine.find(words):
+                            hits[row].append((start, start + len(p)))
+                            names[row] |= engine.patterns[p]
+                        hits[row] = _joined(hits[row])
+                spans = [[{"start": a, "end": b} for a, b in found] for found in hits]
+                made = [pa.array(n_words, pa.int64()), pa.array(spans, SPANS), pa.array(map(sorted, names), pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, "n_words", "spans", "items"])
 
     return run
 
