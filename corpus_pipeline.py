@@ -23,9 +23,9 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes boilerplate lines out of the texts and counts their characters anew.
 
-    Every document stays; one that had nothing but boilerplate has an empty text.
+    Lines are compared without spaces and carriage returns around them. Every document stays; one that had nothing but boilerplate has an empty text.
     """
-    out = lines.drop_boilerplate(docs, n_lines="__n_lines", n_removed="__n_removed")
+    out = lines.drop_boilerplate(docs, n_lines="__n_lines", n_removed="__n_removed", edges=" \r")
     n_chars = F.when(F.col("__n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", n_chars).select(docs.columns)
 

@@ -94,6 +94,14 @@ def test_stages_keep_the_columns(spark, odd, none, tmp_path):
     assert last(spark, odd, str(tmp_path)).count() == odd.count() and last(spark, none, str(tmp_path)).count() == 0
 
 
+def test_line_dedup_stage_takes_line_ends_alike(spark, tmp_path):
+    line = "A line that stands on six sites."
+    rows = [(n, f"{line}{end}\nOwn line of {n}.{end}", f"s{n}", 0) for n, end in enumerate(["\r", "", " \r", "\r", "", ""])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars bigint")
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.dedup_lines(spark, docs, str(tmp_path)).collect()}
+    assert kept == {n: text if n == 0 else text.split("\n")[1] for n, text, _, _ in rows}
+
+
 def test_different_texts_of_one_id_are_documents_of_their_own(spark, tmp_path):
     def text(topic, n=60):
         return " ".join(f"{topic}{k}" for k in range(n))

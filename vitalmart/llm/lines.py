@@ -59,11 +59,13 @@ def drop_boilerplate(
     margin: float = MARGIN,
     n_lines: str = "n_lines",
     n_removed: str = "n_removed",
+    edges: str = " ",
 ) -> DataFrame:
     """The documents without boilerplate lines, all rows and columns kept.
 
-    Lines end at line feeds and are compared without spaces around them; lines under
-    ``min_chars`` characters are never removed. The row of the smallest id with a line keeps
+    Lines end at line feeds and are compared without the characters of ``edges`` around them
+    (spaces; with a carriage return among them, lines of CR LF files equal those of LF files);
+    lines that are then under ``min_chars`` characters are never removed. The row of the smallest id with a line keeps
     it (NULL ids count as largest, rows of one id alike). Adds ``n_lines`` (lines that are not
     blank) and ``n_removed`` under the names given, in place of columns of these names. NULL
     text stays NULL; a text of boilerplate alone becomes empty; rows with a NULL site spread
@@ -77,7 +79,7 @@ def drop_boilerplate(
         F.col(site_col).cast("string").alias("site"),
         F.posexplode(lines_of(F.col(text_col))).alias("at", "line"),
     )
-    lines = lines.withColumn("line", F.trim("line")).where(F.length("line") >= max(1, min_chars))
+    lines = lines.withColumn("line", F.trim("line", F.lit(edges))).where(F.length("line") >= max(1, min_chars))
     lines = lines.select("key", "id", "site", "at", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"))
     found = boilerplate(lines.select("h1", "h2", "site", "id"), min_sites, lg_k, margin)
     gone = lines.select("key", "id", "at", "h1", "h2").join(found, ["h1", "h2"]).where(F.col("id") != F.col("first"))
@@ -88,7 +90,7 @@ def drop_boilerplate(
     joined = docs.withColumn(key, row_key(id_col, text_col)).join(gone, key, "left")
     counted = joined.withColumns(
         {
-            n_lines: F.size(F.filter(all_lines, lambda x: F.trim(x) != "")).cast("long"),
+            n_lines: F.size(F.filter(all_lines, lambda x: F.trim(x, F.lit(edges)) != "")).cast("long"),
             n_removed: F.coalesce(F.size(bad), F.lit(0)).cast("long"),
         }
     )
