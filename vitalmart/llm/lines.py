@@ -1,7 +1,8 @@
 """Line dedup by the spread of a line over distinct sites; DataFrame operations only.
 
-Every line has a HyperLogLog sketch of the sites it stands on; sketches merge by aggregation,
-map side first, so a line that a third of all documents hold is one small row a task. Lines
+Every line meets each of its sites once, in distinct (line, site) pairs of all lines, so a line
+that a third of all documents hold is one small row a site and task. A HyperLogLog sketch over
+these pairs estimates a line's sites; it works on exact pairs and saves no pass. Lines
 far from the threshold are decided by the estimate, lines near it by an exact distinct count
 over those lines alone. Lines on enough sites are boilerplate; they go from every document but
 the one of the smallest id that has them, so no content is lost altogether.
