@@ -363,6 +363,19 @@ def test_fingerprints(spark, sf_dir, texts_of):
     assert sum(a > b for a, b in near) >= 0.99 * len(near)
 
 
+def test_phrase_sets_show_a_short_passage_of_long_texts(spark):
+    rng = random.Random(4)
+    passage, a, b = ("".join(rng.choices("abcdefghij klmnopqrst", k=k)) for k in (600, 30_000, 30_000))
+    rows = [(1, a[:9000] + passage + a[9000:]), (2, b[:20_000] + passage + b[20_000:]), (3, None)]
+    sets = {r["doc_id"]: r["phrases"] for r in fingerprint.phrase_sets(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    inside = fingerprint.phrases([passage.encode()])[0]
+    for level, mine in enumerate(inside):
+        common = set(sets[1][level]) & set(sets[2][level]) & set(mine.tolist())
+        assert len(common) >= len(mine) // 2 > 0
+        assert [f"{n:08x}" for n in sets[1][level][:32]] == re.findall("." * 8, fingerprint.fingerprints([rows[0][1]])[0].split("-")[level])
+    assert sets[3] == [[], []]
+
+
 def test_phrases_do_not_depend_on_the_offset():
     rng = random.Random(10)
     word = lambda n: bytes(rng.choice(b"abcdefghij klmnop") for _ in range(n))

@@ -147,6 +147,27 @@ def fingerprint(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     return frame.mapInArrow(run, schema)
 
 
+def phrase_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id`` and ``phrases`` of every whole text: for each of ``LEVELS`` all distinct phrase
+    names, ascending, where ``fingerprint`` keeps the smallest ``KEPT``.
+
+    Long texts with a short passage in common have its inner phrases in common. NULL texts
+    count as empty and have empty sets; nothing is shuffled; repeated rows give repeated rows.
+    """
+    frame = texts(docs, id_col, text_col)
+    sets = pa.list_(pa.list_(pa.int64()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, most=1 << 20):
+                found = phrases([d.encode() for d in batch.column("text").to_pylist()])
+                made = pa.array([[p.astype(np.int64) for p in ps] for ps in found], sets)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), made], ["doc_id", "phrases"])
+
+    schema = T.StructType([frame.schema["doc_id"], T.StructField("phrases", T.ArrayType(T.ArrayType(T.LongType())))])
+    return frame.mapInArrow(run, schema)
+
+
 def in_order(frame: DataFrame, bucket_text_bytes: int = BUCKET_TEXT_BYTES) -> DataFrame:
     """Documents in descending order of id, in buckets, each with the next bucket's first row.
 
