@@ -41,22 +41,27 @@ class Network:
     base: float
 
 
-def padded(docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All documents in one array, each zero-padded to whole blocks; blocks of each.
+def padded(docs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All documents in one array, each zero-padded to whole blocks; blocks of each; and the
+    places, ascending, where no window counts.
 
-    The padding holds a filter's width, so that no filter sees two documents.
+    The padding holds a filter's width. Windows count that start inside a document (an empty
+    one has a window at its first place), so that no filter sees two documents.
     """
     blocks = np.array([-(-(len(d) + WIDTH - 1) // BLOCK) for d in docs], np.int64)
     flat = np.zeros(int(blocks.sum()) * BLOCK + WIDTH - 1, np.uint8)
-    at = 0
+    at, outside = 0, []
     for d, n in zip(docs, blocks, strict=True):
         flat[at : at + len(d)] = np.frombuffer(d, np.uint8)
-        at += int(n) * BLOCK
-    return flat, blocks
+        end = at + int(n) * BLOCK
+        outside.append(np.arange(at + max(1, len(d)), end))
+        at = end
+    return flat, blocks, np.concatenate(outside)
 
 
-def block_maxima(net: Network, flat: np.ndarray, places: bool = False):
-    """Each filter's largest value in each block, and where it is if asked for."""
+def block_maxima(net: Network, flat: np.ndarray, outside: np.ndarray, places: bool = False):
+    """Each filter's largest value in each block, and where it is if asked for. Windows at
+    the places ``outside`` do not count; a block of these alone has minus infinity."""
     n = len(flat) - WIDTH + 1
     top = np.empty((n // BLOCK, FILTERS), np.float32)
     where = np.empty((n // BLOCK, FILTERS), np.int64) if places else None
@@ -65,6 +70,7 @@ def block_maxima(net: Network, flat: np.ndarray, places: bool = False):
         values = net.table[0].take(flat[at : at + m], 0)
         for j in range(1, WIDTH):
             values += net.table[j].take(flat[at + j : at + j + m], 0)
+        values[outside[slice(*outside.searchsorted((at, at + m)))] - at] = -np.inf
         cube = values.reshape(-1, BLOCK, FILTERS)
         b = at // BLOCK
         if places:
@@ -107,15 +113,17 @@ def _pooled(net: Network, best: np.ndarray, firsts: np.ndarray):
 
 
 def probabilities(net: Network, docs: list[bytes]) -> np.ndarray:
-    """Probability of label 1 for each document; an empty one is all padding."""
+    """Probability of label 1 for each document, from its bytes alone; an empty one scores as
+    a single zero byte."""
     if not docs:
         return np.empty(0)
-    flat, blocks = padded(docs)
-    top, _ = block_maxima(net, flat)
+    flat, blocks, outside = padded(docs)
+    top, _ = block_maxima(net, flat, outside)
     begin, end, firsts = chunks_of(blocks)
     best, _ = chunk_maxima(top, begin, end)
     _, _, mean, high = _pooled(net, best, firsts)
-    z = np.concatenate([mean, high], 1).astype(float) @ net.out + net.base
+    # Row by row, not as a product of matrices, whose last bits depend on the number of rows.
+    z = (np.concatenate([mean, high], 1).astype(float) * net.out).sum(1) + net.base
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -144,8 +152,8 @@ def fit(docs: list[bytes], labels: list[int], *, epochs: int = 14, batch: int =
         order = rng.permutation(len(docs))
         for at in range(0, len(docs), batch):
             rows = order[at : at + batch]
-            flat, blocks = padded([docs[i] for i in rows])
-            top, where = block_maxima(net, flat, places=True)
+            flat, blocks, outside = padded([docs[i] for i in rows])
+            top, where = block_maxima(net, flat, outside, places=True)
             begin, end, firsts = chunks_of(blocks)
             best, block = chunk_maxima(top, begin, end)
             hidden, counts, mean, high = _pooled(net, best, firsts)
