@@ -5,7 +5,20 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalmart.llm import bpe, decontaminate, fingerprint, lines, ngram_join, quality, repeats, secrets, token_files, urls
+from vitalmart.llm import (
+    bpe,
+    decontaminate,
+    filter_audit,
+    fingerprint,
+    lines,
+    ngram_join,
+    quality,
+    repeats,
+    secrets,
+    spellings,
+    token_files,
+    urls,
+)
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -54,6 +67,14 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.op10_fingerprint(_table(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.op12_filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.op13_spellings(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -67,6 +88,8 @@ QUERIES = {
         op8_quality,
         op9_ngram_join,
         op10_fingerprint,
+        op12_filter_audit,
+        op13_spellings,
     )
 }
-ORACLE: dict[str, str] = {"op4_line_dedup": lines.OP4_SQL, "op5_secrets": secrets.OP5_SQL}
+ORACLE: dict[str, str] = {"op4_line_dedup": lines.OP4_SQL, "op5_secrets": secrets.OP5_SQL, "op12_filter_audit": filter_audit.OP12_SQL}
