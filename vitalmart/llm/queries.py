@@ -14,6 +14,7 @@ from vitalmart.llm import (
     ngram_join,
     quality,
     repeats,
+    rules,
     secrets,
     spellings,
     token_files,
@@ -67,6 +68,10 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.op10_fingerprint(_table(spark, sf_dir, "documents"))
 
 
+def op11_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.op11_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.op12_filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -88,6 +93,7 @@ QUERIES = {
         op8_quality,
         op9_ngram_join,
         op10_fingerprint,
+        op11_rules,
         op12_filter_audit,
         op13_spellings,
     )
