@@ -44,7 +44,8 @@ def test_run_log(spark, built):
     summary = {r["stage"]: r for r in tables.stage_summary(built).collect()}
     assert summary["silver"]["tables_successful"] == 18 and summary["silver"]["success"]
     assert summary["gold"]["tables_successful"] == 26
-    assert summary["lookups"]["tables_successful"] == 49
+    assert summary["lookups"]["tables_successful"] == 20
+    assert summary["lookup_views"]["tables_successful"] == 29 and summary["lookup_views"]["total_rows"] is None
     counted = built.filter("table_name = 'fact_encounter'").first()["row_count"]
     assert counted == spark.table("t_gold.fact_encounter").count() == 1500
 
@@ -93,7 +94,7 @@ def test_verification_and_listing(spark, built):
 def test_run_metadata_json(spark, built):
     path = scratch_path(spark, "metadata")
     tables.write_run_metadata(built, path)
-    assert spark.read.json(path).count() == 4
+    assert spark.read.json(path).count() == 5
 
 
 def test_code_file_readers_fail_only_their_tables(spark, tmp_path):

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable, Iterable, Mapping, Set
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalmart.plans import cleaned, cms, lookups, reports, star
+from vitalmart.plans import cleaned, cms, lookups, reports, star, views
 from vitalmart.sources import layouts, readers
 from vitalmart.sources.tables import (
     Layers,
@@ -74,9 +75,10 @@ def build_lookups(
     as_of: dt.date,
     failed: set[str] | None = None,
 ) -> list[Written]:
-    """Lookup tables out of file readers by name; views are stored beside them.
+    """Lookup tables out of file readers by name, and catalog views over them.
 
-    Tables that fail are added to ``failed``, and those that need them fail too.
+    Views store nothing and show what their tables hold when they are read. Tables that fail
+    are added to ``failed``, and tables and views that need them fail too.
     """
     failed = set() if failed is None else failed
 
@@ -85,21 +87,34 @@ def build_lookups(
             return files[name]()
         return spark.table(require(layers.table("bronze", name), failed))
 
-    def job(name: str):
-        maker, needs = {**lookups.TABLES, **lookups.VIEWS}[name]
+    def table(name: str):
+        maker, needs = lookups.TABLES[name]
 
         def run() -> Written:
             built = maker(*arguments(needs, find, spark, as_of))
-            if name in lookups.RECORD_SOURCES:
-                source = f"REFERENCE.{lookups.RECORD_SOURCES[name]}"
-                built = built.transform(readers.stamped(source))
-            return write_table(built, layers.table("bronze", name), "lookups")
+            source = f"REFERENCE.{lookups.RECORD_SOURCES[name]}"
+            return write_table(
+                built.transform(readers.stamped(source)), layers.table("bronze", name), "lookups"
+            )
+
+        return run
+
+    def view(name: str):
+        def run() -> Written:
+            began = time.monotonic()
+            for need in views.needs_of(name):
+                require(layers.table("bronze", need), failed)
+            made = views.create_view(spark, name, layers)
+            return Written("lookup_views", made, None, round(time.monotonic() - began, 3), True)
 
         return run
 
     results = []
-    for name in (*lookups.TABLES, *lookups.VIEWS):
-        results.append(attempt("lookups", name, job(name)))
+    for name in lookups.TABLES:
+        results.append(attempt("lookups", name, table(name)))
+        failed |= failures(results[-1:], layers, "bronze")
+    for name in views.in_order(views.VIEW_SQL):
+        results.append(attempt("lookup_views", name, view(name)))
         failed |= failures(results[-1:], layers, "bronze")
     return results
 

@@ -59,11 +59,11 @@ def with_refresh_times(df: DataFrame, kind: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Written:
-    """Outcome of writing one table."""
+    """Outcome of writing one table; a view has no row count of its own."""
 
     stage: str
     table_name: str
-    row_count: int
+    row_count: int | None
     elapsed_seconds: float
     success: bool
     error: str | None = None
