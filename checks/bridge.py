@@ -741,23 +741,20 @@ class Raw:
         )
 
     def note_files(self) -> DataFrame:
-        """Documents laid out as patient note files."""
-        uuid = "concat('00000000-0000-4000-8000-', lpad(hex(doc_id), 12, '0'))"
+        """Documents as patient note files: ``path`` below the source root and ``value``."""
+        uuid = "concat('00000000-0000-4000-8000-', lpad(lower(hex(doc_id)), 12, '0'))"
         return self.given("documents").selectExpr(
-            "text as value",
-            "current_timestamp() as _load_dts",
-            f"concat('/data/', lang, '/output/notes/Person', doc_id, '_', lower({uuid}), "
-            "if(doc_id % 50 = 49, '.bak', ''), '.txt') as _file_name",
-            "'SYNTHEA.NOTES' as _rec_src",
+            f"concat(lang, '/output/notes/Person', doc_id, '_', {uuid}, '.txt') as path", "text as value"
         )
 
+    def stray_files(self, folder: str) -> DataFrame:
+        """Files between the notes whose names are no notes', one per part."""
+        name = "element_at(array('index.txt', 'Person_00000000.txt', 'x.txt.bak'), cast(p_size % 3 + 1 as int))"
+        return self.given("part").selectExpr(f"concat('en/output/{folder}/', p_partkey, '_', {name}) as path", "p_name as value")
+
     def encounter_note_files(self) -> DataFrame:
-        """Conversation turns laid out as encounter note files."""
-        uuid = "concat('00000000-0000-4000-8000-', lpad(hex(conv_id), 12, '0'))"
+        """Conversation turns as encounter note files: ``path`` and ``value``."""
+        uuid = "concat('00000000-0000-4000-8000-', lpad(lower(hex(conv_id)), 12, '0'))"
         return self.given("conversations").selectExpr(
-            "text as value",
-            "current_timestamp() as _load_dts",
-            f"concat('/data/', role, '/output/text_encounters/Person', conv_id, '_', lower({uuid}), "
-            "turn, '.txt') as _file_name",
-            "'SYNTHEA.TEXT_ENCOUNTERS' as _rec_src",
+            f"concat(role, '/output/text_encounters/Person', conv_id, '_', {uuid}, turn, '.txt') as path", "text as value"
         )

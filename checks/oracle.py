@@ -599,9 +599,9 @@ ORACLE: dict[str, str] = {
     )
     + ", 'SYNTHEA.SYMPTOMS' _rec_src, 'WEST' _state FROM customer",
     "src3_notes": f"SELECT {UUID.format('doc_id')} patient_id, 'Person' || doc_id patient_name, text note_content, "
-    "lang _state, 'SYNTHEA.NOTES' _rec_src FROM documents WHERE doc_id % 50 <> 49",
+    "lang _state, 'SYNTHEA.NOTES' _rec_src FROM documents WHERE text <> ''",
     "src4_encounter_notes": f"SELECT {UUID.format('conv_id')} patient_id, turn::VARCHAR encounter_number, "
-    "text encounter_content, role _state, 'SYNTHEA.TEXT_ENCOUNTERS' _rec_src FROM conversations",
+    "text encounter_content, role _state, 'SYNTHEA.TEXT_ENCOUNTERS' _rec_src FROM conversations WHERE text <> ''",
     "src5_tab_scan": with_parts(
         "SELECT product_id, product_ndc, ndc_package_code, package_description, start_marketing_date, "
         "nullif(end_marketing_date, '') end_marketing_date, ndc_exclude_flag, sample_package FROM lookup_ndc_package",
@@ -625,6 +625,14 @@ ORACLE: dict[str, str] = {
         "SELECT 'silver' stage, 'v_encounter_flattened' table_name, count(*) row_count, true success FROM c_encounter",
         "c_encounter",
     ),
+    "snk4_live_views": with_parts(
+        "SELECT 'v_hcpcs_active' view_name, hcpcs_code code, short_description \"label\" FROM v_hcpcs_active UNION ALL "
+        "SELECT 'v_icd10cm_billable', icd10cm_code, short_description FROM v_icd10cm_billable UNION ALL "
+        "SELECT 'v_ndc_active', ndc_package_code, proprietary_name FROM v_ndc_active",
+        "v_hcpcs_active",
+        "v_icd10cm_billable",
+        "v_ndc_active",
+    ),
     "scl_safe_casts": SAFE_CASTS,
     "scl_observation_split": f"SELECT p, number_text, CASE WHEN {MEASURED} THEN "
     "TRY_CAST(number_text AS DECIMAL(18,6)) END::DOUBLE numeric_value, "

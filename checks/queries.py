@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -12,9 +13,9 @@ from pyspark.sql import types as T
 from checks.bridge import AS_OF, Raw
 from vitalmart.functions import casts, codes, keys, measures
 from vitalmart.operators import rows
-from vitalmart.plans import cleaned, cms, lookups, pipeline, reports, star
+from vitalmart.plans import cleaned, cms, lookups, pipeline, reports, star, views
 from vitalmart.session import scratch_path
-from vitalmart.sources import layouts, readers, tables
+from vitalmart.sources import layouts, readers, tables, writers
 
 c = F.col
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,12 +129,24 @@ def src2_symptoms_scan(spark, sf_dir):
     return plain(readers.read_raw(spark, root, "symptoms"))
 
 
+def _noted(spark: SparkSession, files: DataFrame, folder: str, raw: Raw) -> str:
+    """Root below which a file lies for each row, with files between them that are no notes."""
+    root = scratch_path(spark, folder)
+    writers.write_row_files(files, root)
+    writers.write_row_files(raw.stray_files(folder), root)
+    return root
+
+
 def src3_notes(spark, sf_dir):
-    return plain(readers.notes_of(Raw(spark, sf_dir)["note_files"]))
+    raw = Raw(spark, sf_dir)
+    root = _noted(spark, raw["note_files"], readers.NOTE_FOLDER, raw)
+    return plain(readers.read_notes(spark, root))
 
 
 def src4_encounter_notes(spark, sf_dir):
-    return plain(readers.encounter_notes_of(Raw(spark, sf_dir)["encounter_note_files"]))
+    raw = Raw(spark, sf_dir)
+    root = _noted(spark, raw["encounter_note_files"], readers.ENCOUNTER_NOTE_FOLDER, raw)
+    return plain(readers.read_encounter_notes(spark, root))
 
 
 def src5_tab_scan(spark, sf_dir):
@@ -180,17 +193,12 @@ def src8_fixed_width_icd(spark, sf_dir):
 
 
 def src13_state_folders(spark, sf_dir):
-    """State folders found in the paths of one file per customer, some of them hidden."""
-    files = Raw(spark, sf_dir)["patients"].select(
-        F.concat(
-            F.lit("/data/"),
-            F.when(c("Id").cast("long") % 5 == 0, ".").otherwise(""),
-            "STATE",
-            F.lit("/output/csv/"),
-            "Id",
-        ).alias("path")
-    )
-    return readers.states_of(files)
+    """State folders below a source root with a file per customer, some of them hidden."""
+    hidden = F.when(c("Id").cast("long") % 5 == 0, ".").otherwise("")
+    path = F.concat(hidden, "STATE", F.lit("/output/csv/"), "Id", F.lit(".csv"))
+    root = scratch_path(spark, "states")
+    writers.write_row_files(Raw(spark, sf_dir)["patients"].select(path.alias("path"), c("Id").alias("value")), root)
+    return readers.states_under(spark, root)
 
 
 # --- sinks -----------------------------------------------------------------------------
@@ -207,6 +215,29 @@ def snk2_write_and_count(spark, sf_dir):
     return log.select("stage", "table_name", "row_count", "success")
 
 
+def snk4_live_views(spark, sf_dir):
+    """Three lookup views made over tables of a few rows, read after the tables were replaced."""
+    schema = f"views_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{scratch_path(spark, schema)}'")
+    layers, clinic = tables.Layers(bronze=schema), Clinic(spark, sf_dir)
+    shown = {
+        "v_hcpcs_active": ("hcpcs_code", "short_description"),
+        "v_icd10cm_billable": ("icd10cm_code", "short_description"),
+        "v_ndc_active": ("ndc_package_code", "proprietary_name"),
+    }
+    read = [n for v in views.in_order(shown) for n in views.needs_of(v) if n not in views.VIEW_SQL]
+    for name in read:
+        tables.write_table(clinic[name].where("false"), layers.table("bronze", name))
+    views.create_views(spark, layers, shown)
+    for name in read:
+        tables.write_table(clinic[name], layers.table("bronze", name))
+    found = [
+        spark.table(layers.table("bronze", v)).select(F.lit(v).alias("view_name"), c(code).alias("code"), c(label).alias("label"))
+        for v, (code, label) in shown.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 # --- scalar operators over given columns -----------------------------------------------
 
 
@@ -478,6 +509,7 @@ QUERIES: dict[str, Query] = {
     "src10_optional_lookup": src10_optional_lookup,
     "src13_state_folders": src13_state_folders,
     "snk2_write_and_count": snk2_write_and_count,
+    "snk4_live_views": snk4_live_views,
     "scl_safe_casts": scl_safe_casts,
     "scl_observation_split": scl_observation_split,
     "scl_keys": scl_keys,

@@ -49,3 +49,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         shared = tempfile.mkdtemp(prefix="vitalmart-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system Spark knows; nothing happens where none is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

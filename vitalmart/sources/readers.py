@@ -85,8 +85,16 @@ def read_raw(
     return kept.transform(tidy_names())
 
 
-def read_whole_files(spark: SparkSession, path: str, record_source: str) -> DataFrame:
-    return spark.read.text(path, wholetext=True).transform(audit(record_source))
+def read_whole_files(
+    spark: SparkSession, folders: str, record_source: str, pattern: str = "*.txt"
+) -> DataFrame:
+    """One row per file of the folders, its text as it is; Spark's scans skip empty files.
+
+    Folders are named and files are chosen by ``pattern``, so that a folder of very many
+    files is listed once and not file by file.
+    """
+    scan = spark.read.option("pathGlobFilter", pattern).text(folders, wholetext=True)
+    return scan.transform(audit(record_source))
 
 
 def notes_of(files: DataFrame) -> DataFrame:
@@ -118,13 +126,13 @@ def encounter_notes_of(files: DataFrame) -> DataFrame:
 
 
 def read_notes(spark: SparkSession, root: str, system: str = "SYNTHEA") -> DataFrame:
-    path = glob_path(root, NOTE_FOLDER, "*.txt")
-    return notes_of(read_whole_files(spark, path, f"{system}.NOTES"))
+    folders = glob_path(root, NOTE_FOLDER, "")
+    return notes_of(read_whole_files(spark, folders, f"{system}.NOTES"))
 
 
 def read_encounter_notes(spark: SparkSession, root: str, system: str = "SYNTHEA") -> DataFrame:
-    path = glob_path(root, ENCOUNTER_NOTE_FOLDER, "*.txt")
-    return encounter_notes_of(read_whole_files(spark, path, f"{system}.TEXT_ENCOUNTERS"))
+    folders = glob_path(root, ENCOUNTER_NOTE_FOLDER, "")
+    return encounter_notes_of(read_whole_files(spark, folders, f"{system}.TEXT_ENCOUNTERS"))
 
 
 def read_tabbed(spark: SparkSession, path: str, layout: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import asdict, dataclass, replace
 from functools import reduce
@@ -10,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from vitalmart.session import remove_path
+
 
 @dataclass(frozen=True)
 class Layers:
@@ -69,6 +72,12 @@ class Written:
     error: str | None = None
 
 
+def _parts(name: str) -> tuple[str, str]:
+    """Schema (the session's own where none is named) and table of a name."""
+    schema, _, table = name.rpartition(".")
+    return schema, table
+
+
 def write_table(
     df: DataFrame,
     name: str,
@@ -77,26 +86,97 @@ def write_table(
     partition_by: Sequence[str] = (),
     bucket_by: tuple[int, str] | None = None,
 ) -> Written:
-    """Overwrite a Parquet table in one job; rows are counted while they are written.
+    """Replace a Parquet table in one job; rows are counted while they are written.
+
+    The rows go to a table beside it first. Only when that is complete, and holds as many rows
+    as were seen, does it take the table's place (see ``swap_table``): a write that fails half
+    way leaves the old table as it was, and a table may be made of its own rows.
 
     ``bucket_by`` (bucket count, column) stores a table hashed and sorted by its join key,
     so later joins and rollups on that key need no shuffle. A bucket is one task when it is
     read, so this is for tables with few rows per key.
     """
+    spark = df.sparkSession
     seen = Observation()
     counted = with_refresh_times(df, kind).observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer = counted.write.format("parquet").mode("overwrite").option("overwriteSchema", True)
+    if bucket_by:  # a task holds whole buckets, so there is one file per bucket
+        counted = counted.repartition(*bucket_by)
+    writer = counted.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if bucket_by:  # a task holds whole buckets, so there is one file per bucket
-        count, column = bucket_by
-        counted = counted.repartition(count, column)
-        writer = counted.write.format("parquet").mode("overwrite").option("overwriteSchema", True)
-        writer = writer.partitionBy(*partition_by) if partition_by else writer
+    if bucket_by:
         writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
+    draft = f"{name}{DRAFT}{uuid.uuid4().hex}"
     began = time.monotonic()
-    writer.saveAsTable(name)
-    return Written(stage, name, seen.get["rows"], round(time.monotonic() - began, 3), True)
+    try:
+        writer.saveAsTable(draft)
+        rows = seen.get["rows"]
+        held = spark.table(draft).count()  # from the files' footers
+        if held != rows:
+            raise RuntimeError(f"{name}: {rows} rows written, {held} found")
+        swap_table(spark, draft, name)
+    except Exception:
+        drop_draft(spark, draft)
+        raise
+    return Written(stage, name, rows, round(time.monotonic() - began, 3), True)
+
+
+# Marks in the names of tables that are being written and of those that are being replaced.
+DRAFT, FORMER = "__draft_", "__former_"
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+    if any(c.isPartition for c in spark.catalog.listColumns(new)):
+        # Some catalogs keep the places of partitions, which move with the table.
+        spark.sql(f"MSCK REPAIR TABLE {new} SYNC PARTITIONS")
+
+
+def swap_table(spark: SparkSession, draft: str, name: str) -> None:
+    """Let a finished table take the place of another one, or of none.
+
+    The former table stays under another name until the new one has its name, and gets its own
+    back if that fails; ``recover_tables`` does so after a driver was lost in between.
+    """
+    if not spark.catalog.tableExists(name):
+        _rename(spark, draft, name)
+        return
+    former = f"{name}{FORMER}{uuid.uuid4().hex}"
+    _rename(spark, name, former)
+    try:
+        _rename(spark, draft, name)
+    except Exception:
+        if not spark.catalog.tableExists(name):
+            _rename(spark, former, name)
+        raise
+    spark.sql(f"DROP TABLE {former}")
+
+
+def drop_draft(spark: SparkSession, draft: str) -> None:
+    """Drop a table that was not finished, and the folder a failed write has left of it."""
+    spark.sql(f"DROP TABLE IF EXISTS {draft}")
+    schema, table = _parts(draft)
+    place = spark.catalog.getDatabase(schema or spark.catalog.currentDatabase()).locationUri
+    remove_path(spark, f"{place.rstrip('/')}/{table.lower()}")
+
+
+def recover_tables(spark: SparkSession, schema: str) -> list[str]:
+    """Put right what runs that were cut off have left in a schema; answers the tables restored.
+
+    A replaced table whose successor never got the name gets it back; drafts and replaced
+    tables that are no longer needed are dropped. Only for schemas no other run writes to.
+    """
+    restored = []
+    for table in list_tables(spark, schema):
+        name, found, _ = table.partition(FORMER)
+        if found and spark.catalog.tableExists(f"{schema}.{name}"):
+            spark.sql(f"DROP TABLE {schema}.{table}")
+        elif found:
+            _rename(spark, f"{schema}.{table}", f"{schema}.{name}")
+            restored.append(name)
+        elif DRAFT in table:
+            drop_draft(spark, f"{schema}.{table}")
+    return restored
 
 
 def attempt(stage: str, name: str, write: Callable[[], Written]) -> Written:
