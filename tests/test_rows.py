@@ -95,3 +95,33 @@ def test_running_until_crossing_row_counts(spark):
     assert (total(100), total(1000)) == (Decimal("110.00"), Decimal("150.00"))
     empty = ops.running_until(df.filter("false"), "amount", "day", "key", 5)
     assert empty.first()[0] == Decimal("0.00")
+
+
+def by_brute_force(data):
+    groups = defaultdict(list)
+    for k, d, v in data:
+        groups[k].append((str(d) if d else "", hashlib.sha256(str(v).encode()).hexdigest(), k, d, v))
+    return sorted(
+        ((k, d or "", v, n) for members in groups.values() for n, (_, _, k, d, v) in enumerate(sorted(members, key=lambda m: m[:2]), 1)),
+        key=repr,
+    )
+
+
+@pytest.mark.parametrize("large_rows", [3, 40, 100_000])
+def test_numbered_is_one_order_whatever_is_large(spark, large_rows):
+    rng = random.Random(large_rows)
+    data = [("hot", f"2020-01-{rng.randint(1, 3):02d}", rng.randint(1, 60)) for _ in range(400)]
+    data += [("hot", "2020-01-02", 7)] * 170 + [("hot", "2020-01-02", 9)] * 90 + [("warm", "2020-01-02", 7)] * 50 + [("cold", None, 1), (None, None, 1)]
+    df = spark.createDataFrame(data, "k string, day string, v int").withColumn("day", F.to_date("day"))
+    want = by_brute_force([r for r in data if r[0]])
+    for parts in (1, 7):
+        got = ops.numbered(df.repartition(parts), "k", "day", ["v"], large_rows=large_rows).collect()
+        assert sorted(((r["k"], str(r["day"]) if r["day"] else "", r["v"], r["line_num"]) for r in got), key=repr) == want
+
+
+def test_plans_hold_no_row_for_all(spark):
+    df = spark.range(100).selectExpr("'k' as key", "cast(id % 5 as string) as day", "cast(id as decimal(10,2)) as amount")
+    plan = ops.running_until(df, "amount", "day", "key", 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "inline" not in plan
+    plan = ops.numbered(df, "key", "day", ["amount"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "monotonically" not in plan

@@ -55,53 +55,91 @@ def first_n_as_columns(
     return ranked.groupBy(key).agg(*slots)
 
 
-# Equal copies of a row are folded apart in this many folds.
-FOLDS = 1024
+# A day of a key, or a row with its copies, is large beyond this many rows and beyond the
+# share below of all rows; so there are at most ``MOST_LARGE`` large ones, however many rows.
+LARGE_ROWS, MOST_LARGE = 100_000, 10_000
+PIECE = 10_000
 
 
 def numbered(
-    df: DataFrame, key: str, day: str, tie: Sequence[str], name: str = "line_num"
+    df: DataFrame,
+    key: str,
+    day: str,
+    tie: Sequence[str],
+    name: str = "line_num",
+    large_rows: int = LARGE_ROWS,
 ) -> DataFrame:
     """Number all rows of each key by day, then by a digest of the ``tie`` columns.
 
-    Equal copies are folded into rows with a count, up to ``FOLDS`` of them, so that no row
-    stands for all copies. Rows then fall into slots of (key, day, digest prefix): slots
-    follow the wanted order, and a hot key spreads over many of them. The sizes of a day's
-    slots, and then those of a key's days, give each slot its starting number, so only the
-    rows of one slot are ever sorted together, and no window sees more rows of a key than
-    there are days, or of a day than there are prefixes. Rows without a key are not numbered
-    and left out.
+    Equal copies are one row with a count, summed before the shuffle. Rows of one (key, day)
+    are sorted together, and the sizes of a key's days give each day its starting number.
+    Large days are cut into slots by digest prefix, which follow the wanted order, and the
+    sizes of a day's slots give each slot its start; so a hot key spreads over its days, and a
+    hot day over 65,536 slots. Large days, and rows with very many copies, are few by their
+    definition and so may be broadcast. The numbers of a row with very many copies are made
+    in pieces that are dealt out. Results do not depend on row order, so tasks may run again.
+    Rows without a key are not numbered and left out.
     """
     columns = df.columns
-    slot, on_day = [key, "_day", "_slice"], [key, "_day"]
+    on_day, slot = [key, "_day"], [key, "_day", "_slice"]
     folded = (
         df.filter(F.col(key).isNotNull())
-        .withColumn("_fold", F.monotonically_increasing_id() % FOLDS)
-        .groupBy(*columns, "_fold")
+        .groupBy(*columns)
         .agg(F.count("*").alias("_copies"))
         .withColumns(
             {"_digest": hashed(*tie), "_day": F.coalesce(F.col(day).cast("string"), F.lit(""))}
         )
-        .withColumn("_slice", F.substring("_digest", 1, 4))
     )
-    sizes = folded.groupBy(*slot).agg(F.sum("_copies").alias("_size"))
+    days = folded.groupBy(*on_day).agg(F.sum("_copies").alias("_size"))
+    total = days.agg(F.sum("_size")).scalar()
+    large = F.greatest(F.lit(large_rows), F.floor(total / MOST_LARGE))
+    large_days = days.filter(F.col("_size") > large).select(*on_day, F.lit(True).alias("_large"))
+    prefix = F.when(F.col("_large"), F.substring("_digest", 1, 4)).otherwise("")
+    sliced = folded.join(F.broadcast(large_days), on_day, "left").withColumn("_slice", prefix)
+
+    before = F.sum("_size").over(Window.partitionBy(key).orderBy("_day")) - F.col("_size")
+    day_starts = days.select(*on_day, before.alias("_before"))
+    slices = sliced.filter("_large").groupBy(*slot).agg(F.sum("_copies").alias("_size"))
     in_day = F.sum("_size").over(Window.partitionBy(*on_day).orderBy("_slice")) - F.col("_size")
-    days = sizes.groupBy(*on_day).agg(F.sum("_size").alias("_size"))
-    in_key = F.sum("_size").over(Window.partitionBy(key).orderBy("_day")) - F.col("_size")
-    starts = (
-        sizes.select(*slot, in_day.alias("_in_day"))
-        .join(days.select(*on_day, in_key.alias("_in_key")), on_day)
-        .select(*slot, (F.col("_in_day") + F.col("_in_key")).alias("_before"))
+    starts = day_starts.join(slices.select(*slot, in_day.alias("_in_day")), on_day, "left").select(
+        *on_day,
+        F.coalesce("_slice", F.lit("")).alias("_slice"),
+        (F.col("_before") + F.coalesce("_in_day", F.lit(0))).alias("_before"),
     )
     within = (
         Window.partitionBy(*slot)
-        .orderBy("_digest", *columns, "_fold")
+        .orderBy("_digest", *columns)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    placed = folded.withColumn("_upto", F.sum("_copies").over(within)).join(starts, slot)
-    last = F.col("_before") + F.col("_upto")
-    numbers = F.sequence(last - F.col("_copies") + 1, last)
-    return placed.select(*columns, F.explode(numbers).alias(name))
+    placed = sliced.withColumn("_upto", F.sum("_copies").over(within)).join(starts, slot)
+    few = placed.filter(F.col("_copies") <= large).select(
+        *columns, "_copies", (F.col("_before") + F.col("_upto") - F.col("_copies")).alias("_from")
+    )
+
+    # Rows of very many copies: what comes before each is summed over its day.
+    many = folded.filter(F.col("_copies") > large)
+    place = F.struct("_digest", *columns)
+    marks = many.select(*on_day, place.alias("_place"), F.col("_copies").alias("_times"))
+    smaller = F.sum(F.when(place < F.col("_place"), F.col("_copies")).otherwise(0))
+    many_from = (
+        folded.join(F.broadcast(marks), on_day)
+        .groupBy(*on_day, "_place", "_times")
+        .agg(smaller.alias("_in_day"))
+        .join(day_starts, on_day)
+        .select("_place.*", F.col("_times").alias("_copies"), (F.col("_before") + F.col("_in_day")).alias("_from"))
+        .select(*columns, "_copies", "_from")
+    )
+
+    def pieces(rows: DataFrame) -> DataFrame:
+        first = F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(PIECE)))
+        cut = rows.select(*columns, (F.col("_from") + F.col("_copies")).alias("_last"), "_from", first.alias("_at"))
+        low = F.col("_from") + F.col("_at")
+        return cut.select(*columns, (low + 1).alias("_low"), F.least(low + PIECE, "_last").alias("_high"))
+
+    dealt = pieces(many_from)
+    dealt = dealt.repartition(key, "_low")
+    together = pieces(few).unionByName(dealt)
+    return together.select(*columns, F.explode(F.sequence("_low", "_high")).alias(name))
 
 
 def left_join_hot_right(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -126,8 +164,8 @@ def running_until(
 
     ``key`` is a hex digest, so its leading characters cut a day into even, ordered
     slices. Each slice reports its sum and its highest running total, days combine their
-    slices, and the rows of the crossing slice alone are then walked again: the input is
-    read twice. Amounts may be negative. Without a crossing the grand total is returned.
+    slices; the crossing day, its crossing slice and, walking that slice's rows again, the
+    crossing row are found in turn: the input is read twice. Amounts may be negative. Without a crossing the grand total is returned.
     The window over days sees one row per distinct day.
     """
     limit = F.lit(threshold).cast("decimal(18,2)")
@@ -149,29 +187,28 @@ def running_until(
         .agg(F.sum("amount").alias("amount"), F.max("run").alias("peak"))
         .withColumn("before", upto(["slice"], "day") - F.col("amount"))
     )
-    # Days with their slices: at most 65,536 of them, one for each prefix.
+    # One row a day goes through the window over days, without its slices: what it adds, and
+    # the highest total reached in it.
     days = slices.groupBy("day").agg(
-        F.sum("amount").alias("amount"),
-        F.collect_list(F.struct("slice", "before", "peak")).alias("slices"),
+        F.sum("amount").alias("amount"), F.max(F.col("before") + F.col("peak")).alias("peak")
     )
-    base = upto(["day"]) - F.col("amount")
-    placed = days.select("day", "amount", base.alias("base"), "slices")
-    place = F.struct("day", "slice")
-    # One row: the slice that holds the crossing, or the last one, and what comes before it.
-    hit = (
-        placed.select("day", "base", F.inline("slices"))
-        .withColumn("before", F.col("base") + F.col("before"))
-        .agg(
-            F.coalesce(
-                F.min_by(
-                    F.struct("day", "slice", "before"),
-                    F.when(F.col("before") + F.col("peak") >= limit, place),
-                ),
-                F.max_by(F.struct("day", "slice", "before"), place),
-            ).alias("hit")
-        )
-        .select("hit.*")
+    bases = days.select("day", "peak", (upto(["day"]) - F.col("amount")).alias("base"))
+
+    def first_to_cross(places: DataFrame, place: str, base: str) -> DataFrame:
+        """One row: the first place whose highest total reaches the limit, else the last one."""
+        crossed = F.when(F.col(base) + F.col("peak") >= limit, F.col(place))
+        found = F.struct(place, base)
+        return places.agg(
+            F.coalesce(F.min_by(found, crossed), F.max_by(found, place)).alias("hit")
+        ).select("hit.*")
+
+    day_hit = first_to_cross(bases, "day", "base")
+    within = slices.join(F.broadcast(day_hit), "day").select(
+        F.struct("day", "slice").alias("place"),
+        "peak",
+        (F.col("base") + F.col("before")).alias("before"),
     )
+    hit = first_to_cross(within, "place", "before").select("place.*", "before")
     walk = Window.partitionBy("day", "slice").orderBy("key", "amount")
     run = F.sum("amount").over(walk.rowsBetween(Window.unboundedPreceding, 0)) + F.col("before")
     here = rows.join(F.broadcast(hit), ["day", "slice"]).withColumn("run", run)
