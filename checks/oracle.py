@@ -566,9 +566,31 @@ def no_code(parts: str) -> str:
 LOOKUP_NAMES = [n for n in QUERIES if n.startswith("lookup_")]
 CLEANED_NAMES = [n.removeprefix("cleaned_") for n in QUERIES if n.startswith("cleaned_")]
 CLEANED_NAMES.remove("medication_without_lookups")
-RUN2_FROM = " UNION ALL ".join(
-    f"SELECT '{'claims' if 'claim' in n else 'clinical'}' stage, count(*) c FROM c_{n}"
-    for n in CLEANED_NAMES
+def chunks_of(view: str, source: str, keys: str, value: str, where: str = "true") -> str:
+    """Distinct values of each key, as chunks of three would hold them."""
+    return (
+        f"SELECT '{view}' view_name, concat_ws('|', {keys}) entry, ceil(count(DISTINCT {value}) / 3)::BIGINT chunks, "
+        f"least(count(DISTINCT {value}), 3) largest, array_to_string(list_sort(list_distinct(list({value}))), ',') codes "
+        f"FROM {source} WHERE {where} GROUP BY {keys}"
+    )
+
+
+CHUNKS = " UNION ALL ".join(
+    [
+        chunks_of("v_hcpcs_by_betos", "lookup_hcpcs_codes", "betos_code", "hcpcs_code", "betos_code <> ''"),
+        chunks_of("v_snomed_icd10cm_all", "lookup_snomed_icd10cm_map", "snomed_concept_id, snomed_concept_name", "icd10cm_code", "has_target = 'true'"),
+        chunks_of("v_icd10cm_snomed_reverse", "lookup_snomed_icd10cm_map", "icd10cm_code, icd10cm_name", "snomed_concept_id", "has_target = 'true'"),
+        chunks_of("v_rxcui_ndc_all", "lookup_rxnorm_ndc_crosswalk", "rxcui, rxnorm_name, tty", "ndc_11_digit"),
+        chunks_of("v_rxnorm_prescribe_drug_ndc_all", "lookup_rxnorm_prescribe_ndc", "rxcui, drug_name, drug_type", "ndc_11_digit"),
+        chunks_of("v_rxnorm_prescribe_drugs_expanded", "lookup_rxnorm_prescribe_drug_ingredients", "drug_rxcui, drug_name", "ingredient_name"),
+    ]
+)
+CHUNK_PARTS = (
+    "lookup_hcpcs_codes",
+    "lookup_snomed_icd10cm_map",
+    "lookup_rxnorm_ndc_crosswalk",
+    "lookup_rxnorm_prescribe_ndc",
+    "lookup_rxnorm_prescribe_drug_ingredients",
 )
 
 ORACLE: dict[str, str] = {
@@ -772,9 +794,63 @@ ORACLE: dict[str, str] = {
     ),
     "run1_table_check": counted(LOOKUP_NAMES, LOOKUP_NAMES, "lookup_absent"),
     "run2_stage_summary": with_parts(
-        "SELECT stage, count(*) tables_processed, count(*) FILTER (c > 0) tables_successful, sum(c)::BIGINT total_rows, "
-        "count(*) * 0.5::DOUBLE elapsed_seconds, bool_and(c > 0) success, '' errors "
-        f"FROM ({RUN2_FROM}) GROUP BY 1",
-        *[f"c_{n}" for n in CLEANED_NAMES],
+        "SELECT 'silver' stage, 2::BIGINT tables_processed, 2::BIGINT tables_successful, "
+        "((SELECT count(*) FROM c_patient) + (SELECT count(*) FROM c_encounter))::BIGINT total_rows, true elapsed_seconds, "
+        "true success, '' errors UNION ALL SELECT 'gold', 2, 1, (SELECT count(*) FROM c_payer), true, false, "
+        "'needs v_absent, which failed in this run'",
+        "c_patient",
+        "c_encounter",
+        "c_payer",
+    ),
+    "src14_catalog": with_parts(
+        "SELECT t table_name, k column_name, want data_type, got found_type, s status, "
+        "CASE t WHEN 'lookup_hcpcs_codes' THEN (SELECT count(*) FROM lookup_hcpcs_codes) "
+        "WHEN 'v_hcpcs_pricing_summary' THEN (SELECT count(*) FROM v_hcpcs_pricing_summary) END row_count FROM (VALUES "
+        "('lookup_hcpcs_codes', 'hcpcs_code', 'string', 'string', 'OK'), "
+        "('lookup_hcpcs_codes', 'is_active', 'string', 'boolean', 'OTHER TYPE'), "
+        "('lookup_hcpcs_codes', 'retired_on', 'date', NULL, 'MISSING'), "
+        "('v_hcpcs_pricing_summary', 'pricing_indicator', 'string', 'string', 'OK'), "
+        "('v_hcpcs_pricing_summary', 'coverage_code', 'string', 'string', 'OK'), "
+        "('v_hcpcs_pricing_summary', 'code_count', 'bigint', 'bigint', 'OK'), "
+        "('lookup_absent', 'code', 'string', NULL, 'TABLE MISSING')) v(t, k, want, got, s)",
+        "lookup_hcpcs_codes",
+        "v_hcpcs_pricing_summary",
+    ),
+    "prj2_lineage": "SELECT 'R' || n_regionkey _state, 'SYNTHEA.ORGANIZATIONS' _rec_src, count(*) \"rows\", count(*) loaded, "
+    "count(*) \"lines\", true every_file_matches FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_regionkey",
+    "agg9_code_chunks": with_parts(CHUNKS, *CHUNK_PARTS),
+    "agg9_hot_key_chunks": "SELECT l_returnflag, ceil(count(DISTINCT l_orderkey) / 500)::BIGINT chunks, "
+    "least(count(DISTINCT l_orderkey), 500) largest, count(DISTINCT l_orderkey) orders, count(DISTINCT l_orderkey) distinct_orders, "
+    "sum(DISTINCT l_orderkey)::BIGINT key_sum FROM lineitem GROUP BY 1",
+    "jn7_interval_join": "SELECT s_suppkey, count(*) \"lines\", sum(price)::BIGINT cents, sum(l_quantity)::BIGINT quantity FROM "
+    "(SELECT round(l_extendedprice * 100)::BIGINT price, l_quantity FROM lineitem) JOIN (SELECT s_suppkey, lo, "
+    "lo + (10 ** (s_suppkey % 5))::BIGINT * 10 - CASE WHEN s_suppkey % 11 = 0 THEN 200000 ELSE 0 END hi "
+    "FROM (SELECT s_suppkey, s_suppkey * 7919 % 9000000 lo FROM supplier)) ON price BETWEEN lo AND hi GROUP BY 1",
+    "jn7_days_in_orders": "SELECT person, count(*) hits, count(DISTINCT event_id) events, sum(o_orderkey)::BIGINT order_sum FROM "
+    "(SELECT user_id + 1 person, event_id, DATE '1995-01-01' + (event_id * 7 % 2400)::INT seen FROM events) e JOIN "
+    "(SELECT o_custkey person, o_orderkey, o_orderdate::DATE opened FROM orders) o USING (person) "
+    "WHERE seen BETWEEN opened AND opened + 30 GROUP BY 1",
+    "udf1_fitted_weights": "WITH m AS (SELECT l_quantity::DOUBLE a, l_discount::DOUBLE b, l_extendedprice::DOUBLE y FROM lineitem), "
+    "s AS (SELECT count(*) n, avg(a) ma, avg(b) mb, avg(y) my, var_pop(a) aa, var_pop(b) bb, covar_pop(a, b) ab, "
+    "covar_pop(a, y) ay, covar_pop(b, y) by_ FROM m), "
+    "w AS (SELECT *, (ay * bb - by_ * ab) / (aa * bb - ab * ab) wa, (by_ * aa - ay * ab) / (aa * bb - ab * ab) wb FROM s) "
+    "SELECT 'intercept' term, round(my - wa * ma - wb * mb, 4) weight, n \"rows\" FROM w UNION ALL "
+    "SELECT 'quantity', round(wa, 4), n FROM w UNION ALL SELECT 'discount', round(wb, 4), n FROM w UNION ALL "
+    "SELECT 'mean score', round(my, 4), n FROM w",
+    "udf1_fitted_by_state": with_parts(
+        "SELECT state, count(*) claims, round(avg(k.b0 + k.b1 * year(claim_start_date)), 3) mean_score FROM view_rprt_patient_claims, "
+        "(SELECT regr_slope(claim_payment_amount::DOUBLE, year(claim_start_date)::DOUBLE) b1, "
+        "regr_intercept(claim_payment_amount::DOUBLE, year(claim_start_date)::DOUBLE) b0 FROM view_rprt_patient_claims) k "
+        "WHERE claim_start_date IS NOT NULL GROUP BY state",
+        "view_rprt_patient_claims",
+    ),
+    "ord1_in_order": with_parts(
+        "SELECT 'agg_readmission_rates' result, count(*) row_count, true in_order FROM agg_readmission_rates UNION ALL "
+        "SELECT 'agg_financial_summary_of_encounters', count(*), true FROM agg_financial_summary_of_encounters UNION ALL "
+        "SELECT 'orders by price', count(*), true FROM orders UNION ALL "
+        "SELECT 'first orders by price', least(count(*), 100), true FROM orders UNION ALL "
+        "SELECT 'orders shuffled', count(*), false FROM orders",
+        "agg_readmission_rates",
+        "agg_financial_summary_of_encounters",
     ),
 }

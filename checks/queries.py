@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 from checks.bridge import AS_OF, Raw
 from vitalmart.functions import casts, codes, keys, measures
-from vitalmart.operators import rows
-from vitalmart.plans import cleaned, cms, lookups, pipeline, reports, star, views
+from vitalmart.operators import intervals, order, rows, sets
+from vitalmart.plans import cleaned, cms, lookups, pipeline, reports, scoring, star, views
 from vitalmart.session import scratch_path
 from vitalmart.sources import layouts, readers, tables, writers
 
@@ -206,8 +206,7 @@ def src13_state_folders(spark, sf_dir):
 
 def snk2_write_and_count(spark, sf_dir):
     """An encounter write whose rows are counted while written, as a run log."""
-    schema = f"sink_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {schema} LOCATION '{scratch_path(spark, schema)}'")
+    schema = _database(spark, "sink")
     encounters = Clinic(spark, sf_dir)["encounter"]
     name = f"{schema}.v_encounter_flattened"
     write = lambda: tables.write_table(encounters, name, "silver", "cleaned")
@@ -217,8 +216,7 @@ def snk2_write_and_count(spark, sf_dir):
 
 def snk4_live_views(spark, sf_dir):
     """Three lookup views made over tables of a few rows, read after the tables were replaced."""
-    schema = f"views_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {schema} LOCATION '{scratch_path(spark, schema)}'")
+    schema = _database(spark, "views")
     layers, clinic = tables.Layers(bronze=schema), Clinic(spark, sf_dir)
     shown = {
         "v_hcpcs_active": ("hcpcs_code", "short_description"),
@@ -438,18 +436,175 @@ def run1_table_check(spark, sf_dir):
 
 
 def run2_stage_summary(spark, sf_dir):
-    """Row counts of the cleaned tables folded into one row per stage."""
+    """Stages of a run as its log has them: three tables written, one refused."""
+    clinic, schema = Clinic(spark, sf_dir), _database(spark, "run")
+    log = tables.RunLog(spark, scratch_path(spark, "run-log"))
+
+    def write(stage: str, name: str, frame: DataFrame):
+        log.attempt(stage, name, lambda: tables.write_table(frame, f"{schema}.{name}", stage))
+
+    write("silver", "v_patient_flattened", clinic["patient"])
+    write("silver", "v_encounter_flattened", clinic["encounter"])
+    write("gold", "dim_payer", clinic["dim_payer"])
+    log.attempt("gold", "dim_absent", lambda: pipeline.require("v_absent", {"v_absent"}))
+    summary = tables.stage_summary(log.read())
+    return plain(summary.withColumn("elapsed_seconds", c("elapsed_seconds") > 0))
+
+
+def _database(spark: SparkSession, label: str) -> str:
+    """A new schema below the shared folder."""
+    schema = f"{label}_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{scratch_path(spark, schema)}'")
+    return schema
+
+
+def src14_catalog(spark, sf_dir):
+    """Columns a build stored beside those expected of it, with each table's rows."""
+    clinic, schema = Clinic(spark, sf_dir), _database(spark, "catalog")
+    stored = {n: clinic[n] for n in ("lookup_hcpcs_codes", "lookup_rxnorm_semantic_types")}
+    for name, frame in stored.items():
+        tables.write_table(frame, f"{schema}.{name}")
+    views.create_view(spark, "v_hcpcs_pricing_summary", tables.Layers(bronze=schema))
+    expected = [
+        ("lookup_hcpcs_codes", "hcpcs_code", "string"),
+        ("lookup_hcpcs_codes", "is_active", "string"),
+        ("lookup_hcpcs_codes", "retired_on", "date"),
+        ("v_hcpcs_pricing_summary", "pricing_indicator", "string"),
+        ("v_hcpcs_pricing_summary", "coverage_code", "string"),
+        ("v_hcpcs_pricing_summary", "code_count", "bigint"),
+        ("lookup_absent", "code", "string"),
+    ]
+    asked = spark.createDataFrame(expected, "table_name string, column_name string, data_type string")
+    found = tables.catalog_differences(tables.catalog_rows(spark, schema), asked)
+    counts = tables.verify_tables(spark, schema, ["lookup_hcpcs_codes", "lookup_absent", "v_hcpcs_pricing_summary"])
+    shown = found.where("status <> 'EXTRA'").join(counts.select("table_name", "row_count"), "table_name")
+    return plain(shown)
+
+
+def prj2_lineage(spark, sf_dir):
+    """Rows of each source file by its audit columns, beside the lines the file has."""
+    root, raw = scratch_path(spark, "lineage"), Raw(spark, sf_dir)
+    names = layouts.names(layouts.CSV_COLUMNS["organizations"])
+    given = raw.given("supplier").join(raw.given("nation"), c("s_nationkey") == c("n_nationkey"))
+    rows_ = given.select(
+        "n_regionkey",
+        *[(c("s_suppkey").cast("string") if n == names[0] else c("s_name") if n == names[1] else F.lit(None).cast("string")).alias(n) for n in names],
+    )
+    for region in range(5):
+        part = rows_.where(c("n_regionkey") == region).drop("n_regionkey").repartition(3, names[0])
+        part.write.option("header", True).csv(f"{root}/R{region}/output/csv/organizations.csv")
+    read = readers.read_raw(spark, root, "organizations")
+    by_file = read.groupBy("_file_name", "_state", "_rec_src").agg(
+        F.count("*").alias("rows"), F.count_if(c("_load_dts").isNotNull()).alias("loaded")
+    )
+    lines = spark.read.text(readers.glob_path(root, readers.CSV_FOLDER, "organizations.csv"))
+    lines = lines.groupBy(c("_metadata.file_path").alias("_file_name")).agg((F.count("*") - 1).alias("lines"))
+    matched = by_file.join(lines.where("lines > 0"), "_file_name", "full")
+    return matched.groupBy("_state", "_rec_src").agg(
+        F.sum("rows").alias("rows"), F.sum("loaded").alias("loaded"), F.sum("lines").alias("lines"),
+        F.bool_and(F.coalesce(c("rows") == c("lines"), F.lit(False))).alias("every_file_matches"),
+    )
+
+
+def agg9_code_chunks(spark, sf_dir):
+    """Array views in chunks of three values, and what the chunks of a key hold together."""
     clinic = Clinic(spark, sf_dir)
-    counted = tables.table_counts({n: clinic[n] for n in cleaned.SPECS})
-    log = counted.select(
-        F.when(c("table_name").contains("claim"), "claims").otherwise("clinical").alias("stage"),
-        "table_name",
-        "row_count",
-        F.lit(0.5).alias("elapsed_seconds"),
-        (c("row_count") > 0).alias("success"),
-        F.when(c("row_count") == 0, "empty").alias("error"),
+    found = []
+    for view, (_, _, keys_, _) in lookups.CHUNKED.items():
+        chunks = lookups.code_chunks(view, clinic.__getitem__, 3)
+        key = F.concat_ws("|", *keys_)
+        found.append(
+            chunks.groupBy(F.lit(view).alias("view_name"), key.alias("entry")).agg(
+                F.count("*").alias("chunks"),
+                F.max(F.size("values")).cast("bigint").alias("largest"),
+                F.array_join(F.array_sort(F.flatten(F.collect_list("values"))), ",").alias("codes"),
+            )
+        )
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def agg9_hot_key_chunks(spark, sf_dir):
+    """Orders of each return flag, a third of all lines each, in chunks of 500."""
+    lines = Raw(spark, sf_dir).given("lineitem")
+    chunks = sets.chunked_sets(lines, ["l_returnflag"], "l_orderkey", 500)
+    each = F.explode("values").alias("v")
+    spread = chunks.select("l_returnflag", "chunk", "chunks", F.size("values").alias("size"), each)
+    return spread.groupBy("l_returnflag").agg(
+        F.max("chunks").alias("chunks"), F.max("size").cast("bigint").alias("largest"), F.count("*").alias("orders"),
+        F.count_distinct("v").alias("distinct_orders"), F.sum("v").alias("key_sum"),
+    )
+
+
+def jn7_interval_join(spark, sf_dir):
+    """Lines whose price lies in a supplier's span, counted per supplier; spans differ in length
+    ten-thousandfold and some end before they begin."""
+    raw = Raw(spark, sf_dir)
+    cents = F.round(c("l_extendedprice") * 100).cast("bigint")
+    lines = raw.given("lineitem").select(cents.alias("price"), "l_quantity")
+    low = c("s_suppkey") * 7919 % 9_000_000
+    high = low + F.pow(F.lit(10.0), c("s_suppkey") % 5).cast("bigint") * 10 - F.when(c("s_suppkey") % 11 == 0, 200_000).otherwise(0)
+    spans = raw.given("supplier").select("s_suppkey", low.alias("low"), high.alias("high"))
+    found = intervals.interval_join(lines, spans, "price", "low", "high")
+    return found.groupBy("s_suppkey").agg(
+        F.count("*").alias("lines"), F.sum("price").alias("cents"), F.sum("l_quantity").cast("bigint").alias("quantity")
     )
-    return plain(tables.stage_summary(log))
+
+
+def jn7_days_in_orders(spark, sf_dir):
+    """Events that lie in the thirty days after an order of the same person."""
+    raw = Raw(spark, sf_dir)
+    day = F.to_date("o_orderdate")
+    orders = raw.given("orders").select(
+        c("o_custkey").alias("person"), "o_orderkey", day.alias("opened"), F.date_add(day, 30).alias("closed")
+    )
+    shifted = F.date_add(F.lit("1995-01-01").cast("date"), (c("event_id") * 7 % 2400).cast("int"))
+    events = raw.given("events").select((c("user_id") + 1).alias("person"), "event_id", shifted.alias("seen"))
+    found = intervals.interval_join(events, orders, "seen", "opened", "closed", on=["person"])
+    return found.groupBy("person").agg(
+        F.count("*").alias("hits"), F.count_distinct("event_id").alias("events"), F.sum("o_orderkey").alias("order_sum")
+    )
+
+
+def udf1_fitted_weights(spark, sf_dir):
+    """Line prices explained by quantity and discount: weights and what they predict."""
+    lines = Raw(spark, sf_dir).given("lineitem")
+    features = {"quantity": c("l_quantity"), "discount": c("l_discount")}
+    model = scoring.fit_linear(lines, features, c("l_extendedprice"))
+    scored = lines.select("l_extendedprice", model.score(features).alias("score"))
+    mean = scored.agg(F.avg("score").alias("weight")).select(F.lit("mean score").alias("term"), "weight")
+    together = model.as_rows(spark).unionByName(mean)
+    return together.select("term", F.round("weight", 4).alias("weight"), F.lit(model.row_count).alias("rows"))
+
+
+def udf1_fitted_by_state(spark, sf_dir):
+    """Claim payments scored by a line through payer shares; mean score per state."""
+    clinic = Clinic(spark, sf_dir)
+    claims = clinic["rprt_patient_claims"].select(
+        "state", c("claim_payment_amount").cast("double").alias("y"), F.year("claim_start_date").cast("double").alias("x")
+    )
+    model = scoring.fit_linear(claims, {"x": c("x")}, c("y"))
+    scored = claims.withColumn("score", model.score({"x": c("x")}))
+    return scored.groupBy("state").agg(F.count("score").alias("claims"), F.round(F.avg("score"), 3).alias("mean_score"))
+
+
+def ord1_in_order(spark, sf_dir):
+    """Whether results come in the order they promise, beside one that was shuffled."""
+    clinic, raw = Clinic(spark, sf_dir), Raw(spark, sf_dir)
+    orders = raw.given("orders").select("o_orderkey", "o_totalprice")
+    by_price = [("o_totalprice", False), ("o_orderkey", True)]
+    ranked = orders.orderBy(c("o_totalprice").desc(), "o_orderkey")
+    months = [("year", True), ("quarter", True), ("month", True)]
+    cases = {
+        "agg_readmission_rates": (clinic["agg_readmission_rates"], months),
+        "agg_financial_summary_of_encounters": (agg_financial_summary_of_encounters(spark, sf_dir), months),
+        "orders by price": (ranked, by_price),
+        "first orders by price": (ranked.limit(100), by_price),
+        "orders shuffled": (ranked.repartition(7, "o_orderkey"), by_price),
+    }
+    found = [
+        order.order_of(df, keys_).select(F.lit(name).alias("result"), "row_count", "in_order") for name, (df, keys_) in cases.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def scp10_safe_ratio(spark, sf_dir):
@@ -556,6 +711,20 @@ QUERIES: dict[str, Query] = {
     "scp10_safe_ratio": scp10_safe_ratio,
     "scp11_rejects": scp11_rejects,
     "scp12_data_checks": scp12_data_checks,
+    **{
+        f.__name__: f
+        for f in (
+            src14_catalog,
+            prj2_lineage,
+            agg9_code_chunks,
+            agg9_hot_key_chunks,
+            jn7_interval_join,
+            jn7_days_in_orders,
+            udf1_fitted_weights,
+            udf1_fitted_by_state,
+            ord1_in_order,
+        )
+    },
     "run1_table_check": run1_table_check,
     "run2_stage_summary": run2_stage_summary,
 }

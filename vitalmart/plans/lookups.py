@@ -25,6 +25,7 @@ from vitalmart.functions.codes import (
 )
 from vitalmart.functions.measures import is_blank, recode, true_false
 from vitalmart.operators.rows import best_row
+from vitalmart.operators.sets import CHUNK, chunked_sets
 from vitalmart.sources import layouts
 from vitalmart.sources.readers import cut_fields
 
@@ -791,6 +792,50 @@ VIEWS: dict[str, tuple[Builder, Sequence[str]]] = {
     ),
 }
 
+# Views that hold a key's values as one array: what the values are, for ``code_chunks``.
+CHUNKED: dict[str, tuple[str, str | None, Sequence[str], str]] = {
+    "v_hcpcs_by_betos": ("lookup_hcpcs_codes", "betos_code != ''", ("betos_code",), "hcpcs_code"),
+    "v_snomed_icd10cm_all": (
+        "lookup_snomed_icd10cm_map",
+        "has_target = 'true'",
+        ("snomed_concept_id", "snomed_concept_name"),
+        "icd10cm_code",
+    ),
+    "v_icd10cm_snomed_reverse": (
+        "lookup_snomed_icd10cm_map",
+        "has_target = 'true'",
+        ("icd10cm_code", "icd10cm_name"),
+        "snomed_concept_id",
+    ),
+    "v_rxcui_ndc_all": (
+        "lookup_rxnorm_ndc_crosswalk",
+        None,
+        ("rxcui", "rxnorm_name", "tty"),
+        "ndc_11_digit",
+    ),
+    "v_rxnorm_prescribe_drug_ndc_all": (
+        "lookup_rxnorm_prescribe_ndc",
+        None,
+        ("rxcui", "drug_name", "drug_type"),
+        "ndc_11_digit",
+    ),
+    "v_rxnorm_prescribe_drugs_expanded": (
+        "lookup_rxnorm_prescribe_drug_ingredients",
+        None,
+        ("drug_rxcui", "drug_name"),
+        "ingredient_name",
+    ),
+}
+
+
+def code_chunks(view: str, find: Callable[[str], DataFrame], size: int = CHUNK) -> DataFrame:
+    """The rows of an array view in chunks of at most ``size`` values (see ``chunked_sets``):
+    for keys whose values do not fit one row. ``find`` gives a lookup table by its name."""
+    table, condition, keys, value = CHUNKED[view]
+    source = find(table) if condition is None else find(table).filter(condition)
+    return chunked_sets(source, keys, value, size)
+
+
 # Record source written into the audit column of each lookup table.
 RECORD_SOURCES = {
     "lookup_hcpcs_codes": "HCPCS",

@@ -12,6 +12,7 @@ from vitalmart.plans import cleaned, cms, lookups, reports, star, views
 from vitalmart.sources import layouts, readers
 from vitalmart.sources.tables import (
     Layers,
+    RunLog,
     Written,
     attempt,
     optional_table,
@@ -19,6 +20,7 @@ from vitalmart.sources.tables import (
     write_table,
 )
 
+Note = Callable[[Written], object] | None
 MART = {**star.TABLES, **cms.TABLES}
 TEXT_TABLES: dict[str, Callable[..., DataFrame]] = {
     "notes": readers.read_notes,
@@ -45,7 +47,12 @@ def arguments(needs, find: Callable[[str], object], spark: SparkSession, as_of:
 
 
 def build_raw(
-    spark: SparkSession, root: str, layers: Layers, system: str = "SYNTHEA", **options
+    spark: SparkSession,
+    root: str,
+    layers: Layers,
+    system: str = "SYNTHEA",
+    note: Note = None,
+    **options,
 ) -> list[Written]:
     """All CSV and text tables, stored per state."""
 
@@ -65,7 +72,7 @@ def build_raw(
         )
 
     jobs = {**{t: csv(t) for t in layouts.CSV_COLUMNS}, **{t: text(t) for t in TEXT_TABLES}}
-    return [attempt("bronze", f"bronze_{t}", job) for t, job in jobs.items()]
+    return [attempt("bronze", f"bronze_{t}", job, note) for t, job in jobs.items()]
 
 
 def build_lookups(
@@ -74,6 +81,7 @@ def build_lookups(
     layers: Layers,
     as_of: dt.date,
     failed: set[str] | None = None,
+    note: Note = None,
 ) -> list[Written]:
     """Lookup tables out of file readers by name, and catalog views over them.
 
@@ -111,16 +119,20 @@ def build_lookups(
 
     results = []
     for name in lookups.TABLES:
-        results.append(attempt("lookups", name, table(name)))
+        results.append(attempt("lookups", name, table(name), note))
         failed |= failures(results[-1:], layers, "bronze")
     for name in views.in_order(views.VIEW_SQL):
-        results.append(attempt("lookup_views", name, view(name)))
+        results.append(attempt("lookup_views", name, view(name), note))
         failed |= failures(results[-1:], layers, "bronze")
     return results
 
 
 def build_cleaned(
-    spark: SparkSession, layers: Layers, as_of: dt.date, failed: Set[str] = frozenset()
+    spark: SparkSession,
+    layers: Layers,
+    as_of: dt.date,
+    failed: Set[str] = frozenset(),
+    note: Note = None,
 ) -> list[Written]:
     """Cleaned entities. A lookup table that was never there gives typed NULLs; one in
     ``failed`` fails the entity."""
@@ -138,7 +150,7 @@ def build_cleaned(
 
         return run
 
-    return [attempt("silver", cleaned.TABLE_NAMES[e], job(e)) for e in cleaned.SPECS]
+    return [attempt("silver", cleaned.TABLE_NAMES[e], job(e), note) for e in cleaned.SPECS]
 
 
 def mart_source(
@@ -155,7 +167,11 @@ def mart_source(
 
 
 def build_mart(
-    spark: SparkSession, layers: Layers, as_of: dt.date, failed: set[str] | None = None
+    spark: SparkSession,
+    layers: Layers,
+    as_of: dt.date,
+    failed: set[str] | None = None,
+    note: Note = None,
 ) -> list[Written]:
     """Star schema and CMS mart. Facts are not bucketed: a bucket is one task when it is read,
     and one patient may own a large share of them."""
@@ -173,7 +189,7 @@ def build_mart(
 
     results = []
     for name in MART:
-        results.append(attempt("gold", name, job(name)))
+        results.append(attempt("gold", name, job(name), note))
         failed |= failures(results[-1:], layers, "gold")
     return results
 
@@ -185,24 +201,27 @@ def build_all(
     layers: Layers,
     as_of: dt.date,
     keep_going: bool = False,
+    log_path: str | None = None,
     **raw_options,
 ) -> DataFrame:
-    """Every table once, in dependency order; answers the run log.
+    """Every table once, in dependency order; answers the run log. With ``log_path`` each entry
+    is also appended there as soon as its table is written (see ``RunLog``).
 
     A table that needs a failed one fails too, so nothing is built on missing lookups or on
     tables left over from another run. With ``keep_going`` it takes whatever is stored.
     """
     failed: set[str] = set()
+    note = RunLog(spark, log_path).note if log_path else None
 
     def known() -> set[str]:
         return set() if keep_going else failed
 
-    results = build_raw(spark, root, layers, **raw_options)
+    results = build_raw(spark, root, layers, note=note, **raw_options)
     failed |= failures(results, layers, "bronze")
-    results += build_lookups(spark, files, layers, as_of, known())
-    entities = build_cleaned(spark, layers, as_of, known())
+    results += build_lookups(spark, files, layers, as_of, known(), note)
+    entities = build_cleaned(spark, layers, as_of, known(), note)
     failed |= failures(entities, layers, "silver")
-    results += entities + build_mart(spark, layers, as_of, known())
+    results += entities + build_mart(spark, layers, as_of, known(), note)
     return run_log(spark, results)
 
 

@@ -179,14 +179,23 @@ def recover_tables(spark: SparkSession, schema: str) -> list[str]:
     return restored
 
 
-def attempt(stage: str, name: str, write: Callable[[], Written]) -> Written:
-    """Log entry of one table; a failure becomes an entry instead of ending the run."""
+def attempt(
+    stage: str,
+    name: str,
+    write: Callable[[], Written],
+    note: Callable[[Written], object] | None = None,
+) -> Written:
+    """Log entry of one table; a failure becomes an entry instead of ending the run. ``note``
+    gets the entry as soon as there is one."""
     began = time.monotonic()
     try:
-        return replace(write(), table_name=name)
+        entry = replace(write(), table_name=name)
     except Exception as problem:  # noqa: BLE001 - recorded, not hidden
         took = round(time.monotonic() - began, 3)
-        return Written(stage, name, 0, took, False, str(problem))
+        entry = Written(stage, name, 0, took, False, str(problem))
+    if note is not None:
+        note(entry)
+    return entry
 
 
 RUN_LOG_SCHEMA = (
@@ -211,6 +220,30 @@ def stage_summary(log: DataFrame) -> DataFrame:
     )
 
 
+class RunLog:
+    """Entries of one run or many, appended to a JSON folder one by one as tables are written,
+    so that what a run did can be read after it broke off."""
+
+    def __init__(self, spark: SparkSession, path: str, run: str | None = None):
+        self.spark, self.path = spark, path
+        self.run = run or uuid.uuid4().hex
+
+    def note(self, entry: Written) -> None:
+        added = run_log(self.spark, [entry]).select(
+            F.lit(self.run).alias("run"), F.current_timestamp().alias("logged_at"), "*"
+        )
+        added.coalesce(1).write.mode("append").json(self.path)
+
+    def attempt(self, stage: str, name: str, write: Callable[[], Written]) -> Written:
+        return attempt(stage, name, write, self.note)
+
+    def read(self, every_run: bool = False) -> DataFrame:
+        """Entries of this run, or of all runs that were noted in the folder."""
+        schema = f"run string, logged_at timestamp, {RUN_LOG_SCHEMA}"
+        found = self.spark.read.schema(schema).json(self.path)
+        return found if every_run else found.filter(F.col("run") == self.run)
+
+
 def write_run_metadata(log: DataFrame, path: str) -> None:
     stage_summary(log).write.mode("overwrite").json(path)
 
@@ -243,3 +276,43 @@ def list_tables(spark: SparkSession, schema: str) -> list[str]:
 
 def describe(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"DESCRIBE TABLE {name}").select("col_name", "data_type")
+
+
+CATALOG_SCHEMA = (
+    "table_name string, table_type string, column_name string, position int, data_type string"
+)
+
+
+def catalog_rows(spark: SparkSession, schema: str) -> DataFrame:
+    """One row per column of every table and view of a schema, as the catalog has them now."""
+    rows = [
+        (table, spark.catalog.getTable(f"{schema}.{table}").tableType, c.name, n, c.dataType)
+        for table in list_tables(spark, schema)
+        for n, c in enumerate(spark.catalog.listColumns(f"{schema}.{table}"), 1)
+    ]
+    return spark.createDataFrame(rows, CATALOG_SCHEMA)
+
+
+def catalog_differences(found: DataFrame, expected: DataFrame) -> DataFrame:
+    """Expected columns beside those of a catalog, one row each with its ``status``.
+
+    ``expected`` has ``table_name``, ``column_name`` and ``data_type`` (NULL where any will do).
+    A column is OK, of OTHER TYPE, or MISSING, with its TABLE MISSING altogether; columns of
+    expected tables that nobody expects are EXTRA. Names are compared in lower case.
+    """
+    key = [F.lower("table_name").alias("table_name"), F.lower("column_name").alias("column_name")]
+    have = found.select(*key, F.col("data_type").alias("found_type"))
+    want = expected.select(*key, "data_type", F.lit(True).alias("wanted"))
+    tables = have.select("table_name").distinct().withColumn("there", F.lit(True))
+    asked = want.select("table_name").distinct()
+    both = have.join(asked, "table_name", "left_semi").join(want, ["table_name", "column_name"], "full")
+    status = (
+        F.when(F.col("wanted").isNull(), "EXTRA")
+        .when(F.col("there").isNull(), "TABLE MISSING")
+        .when(F.col("found_type").isNull(), "MISSING")
+        .when(F.col("found_type") != F.col("data_type"), "OTHER TYPE")
+        .otherwise("OK")
+    )
+    return both.join(tables, "table_name", "left").select(
+        "table_name", "column_name", "data_type", "found_type", status.alias("status")
+    )
