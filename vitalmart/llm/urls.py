@@ -1,7 +1,8 @@
 """URL filter: host words by unigram Viterbi, then multinomial naive Bayes.
 
-The words of all pages give unigram counts. Each distinct host label meets only the words it
-contains, by a join on its substrings, so no word list is sent around. Pages that a rule
+The words of all pages give unigram counts, stored once. Each distinct host label meets only
+the words it contains, by a join on its substrings (of long words, on their beginnings), so no
+word list is sent around. Pages that a rule
 judges are the training set. Hosts and path shapes are counted before anything is joined, so
 one host with a third of all pages costs one row; scores are found once for each distinct
 host and path shape and joined back to the pages.
@@ -15,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitalmart.llm.common import stored
+
 #: Rules as host and path, with their verdicts.
 RULES = {
     "org/": "allow",
@@ -23,7 +26,7 @@ RULES = {
     "com/fr/": "allow",
     "com/de/": "block",
 }
-LONGEST_WORD = 20
+STEM = 20  # of words longer than this, the beginning is looked up first
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -49,23 +52,32 @@ def word_counts(pages: DataFrame) -> DataFrame:
     """``word``, ``n`` over the visible text of all pages, lower-cased."""
     text = F.lower(F.regexp_replace("html", r"<[^>]*>", " "))
     words = pages.select(F.explode(F.split(text, r"[^\p{L}]+")).alias("word"))
-    return words.where(F.length("word").between(1, LONGEST_WORD)).groupBy("word").agg(F.count("*").alias("n"))
+    return words.where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
 
 
 def segment(label: str, counts: dict[str, int], total: int) -> list[str]:
     """The split of the label that is likeliest under the unigram counts.
 
     An unknown piece of k letters counts as 10 / (total * 10**k) words, so that longer ones
-    cost more. Of equal splits the one whose last word is longest wins.
+    cost more. Of equal splits the one whose last word is longest wins. ``counts`` may hold
+    the label's own words alone. Words and unknown pieces may be of any length.
     """
+    letter, unknown = math.log(10), math.log(10 / max(total, 1))
+    sizes = sorted({len(w) for w in counts})
     best = [(0.0, 0)]
+    # The unknown piece that ends here begins where this is largest, whatever its length.
+    start, high = 0, 0.0
     for end in range(1, len(label) + 1):
-        options = []
-        for size in range(1, min(LONGEST_WORD, end) + 1):
+        options = [(high - end * letter + unknown, end - start)]
+        for size in sizes:
+            if size > end:
+                break
             n = counts.get(label[end - size : end], 0)
-            chance = math.log(n / total) if n else math.log(10 / max(total, 1)) - size * math.log(10)
-            options.append((best[end - size][0] + chance, size))
+            if n:
+                options.append((best[end - size][0] + math.log(n / total), size))
         best.append(max(options))
+        if best[end][0] + end * letter > high:
+            start, high = end, best[end][0] + end * letter
     words, end = [], len(label)
     while end:
         words.append(label[end - best[end][1] : end])
@@ -73,21 +85,37 @@ def segment(label: str, counts: dict[str, int], total: int) -> list[str]:
     return words[::-1]
 
 
-def host_words(hosts: DataFrame, counts: DataFrame, total: int) -> DataFrame:
-    """``host`` (distinct) and ``words``: the segments of its labels, those of equal labels repeated."""
-    labels = hosts.select("host", F.posexplode(F.split("host", r"[.]")).alias("at", "label")).where("label <> ''")
-    distinct = labels.select("label").distinct()
-    n = F.length("label")
+def words_in(labels: DataFrame, counts: DataFrame, stem: int = STEM) -> DataFrame:
+    """``label``, ``word`` and ``n`` of every counted word that a label contains, of any length.
+
+    ``labels`` are distinct. Words of ``stem`` letters at most are joined to the substrings of
+    that length or less; longer ones to the substrings of ``stem`` letters they begin with, and
+    then compared whole.
+    """
+    size = F.length("label")
     pieces = F.flatten(
         F.transform(
-            F.sequence(F.lit(1), n),
+            F.sequence(F.lit(1), size),
             lambda i: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), n - i + 1)),
-                lambda size: F.substring(F.col("label"), i, size),
+                F.sequence(F.lit(1), F.least(F.lit(stem), size - i + 1)),
+                lambda k: F.substring(F.col("label"), i, k),
             ),
         )
     )
-    known = distinct.select("label", F.explode(F.array_distinct(pieces)).alias("word")).join(counts, "word")
+    short = labels.select("label", F.explode(F.array_distinct(pieces)).alias("word")).join(counts, "word")
+    places = labels.where(size > stem).select("label", F.explode(F.sequence(F.lit(1), size - stem)).alias("at"))
+    begun = places.select("label", "at", F.substring(F.col("label"), F.col("at"), F.lit(stem)).alias("stem"))
+    long = counts.where(F.length("word") > stem).withColumn("stem", F.left("word", F.lit(stem)))
+    whole = F.substring(F.col("label"), F.col("at"), F.length("word")) == F.col("word")
+    found = begun.join(long, "stem").where(whole).select("label", "word", "n").distinct()
+    return short.select("label", "word", "n").unionByName(found)
+
+
+def host_words(hosts: DataFrame, counts: DataFrame, total: int, stem: int = STEM) -> DataFrame:
+    """``host`` (distinct) and ``words``: the segments of its labels, those of equal labels repeated."""
+    labels = hosts.select("host", F.posexplode(F.split("host", r"[.]")).alias("at", "label")).where("label <> ''")
+    distinct = labels.select("label").distinct()
+    known = words_in(distinct, counts, stem)
     known = known.groupBy("label").agg(F.collect_list(F.struct("word", "n")).alias("known"))
 
     @F.pandas_udf("array<string>")
@@ -122,7 +150,7 @@ def filter_urls(pages: DataFrame, *, rules: dict[str, str] = RULES, id_col: str
     counted = parsed.groupBy("host", "shape").agg(
         F.count_if(verdict == "allow").alias("allow"), F.count_if(verdict == "block").alias("block")
     )
-    counts = word_counts(pages)
+    counts = stored(word_counts(pages), "url-words")  # the html is read once
     total = counts.agg(F.sum("n")).first()[0] or 0
     words = host_words(counted.select("host").distinct(), counts, total)
     tokens = counted.join(words, "host", "left").select(
