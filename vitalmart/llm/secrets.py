@@ -12,14 +12,13 @@ match's place in code points.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from re import _constants as op
-from re import _parser
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalmart.llm.common import texts
 from vitalmart.llm.lines import row_key
+from vitalmart.llm.patterns import parse
 
 ANY = None
 MOST_STRINGS = 64
@@ -79,20 +78,18 @@ def _walk(tree) -> tuple[set[str] | None, frozenset[frozenset[str]] | None]:
         nonlocal exact, query, whole
         query, exact, whole = _both(query, _all_of(strings)), {""}, False
 
-    for code, value in tree:
+    for code, *value in tree:
         more = None
-        if code is op.LITERAL:
-            more = {chr(value).lower()}
-        elif code is op.IN and all(c is op.LITERAL for c, _ in value) and len(value) <= 8:
-            more = {chr(v).lower() for _, v in value}
-        elif code is op.SUBPATTERN:
-            more, inner = _walk(value[3])
+        if code == "set" and value[0] is not None and len(value[0]) <= 8:
+            more = {c.lower() for c in value[0]}
+        elif code == "group":
+            more, inner = _walk(value[0])
             if more is None:
                 end(exact)
                 query = _both(query, inner)
                 continue
-        elif code is op.BRANCH:
-            parts = [_walk(t) for t in value[1]]
+        elif code == "either":
+            parts = [_walk(t) for t in value[0]]
             if all(p[0] is not None for p in parts):
                 more = set().union(*(p[0] for p in parts))
             else:
@@ -101,7 +98,7 @@ def _walk(tree) -> tuple[set[str] | None, frozenset[frozenset[str]] | None]:
                 if all(a is not ANY for a in asks):
                     query = _both(query, _least(set().union(*asks)))
                 continue
-        elif code in (op.MAX_REPEAT, op.MIN_REPEAT):
+        elif code == "repeat":
             low, high, inner = value
             strings, ask = _walk(inner)
             if (low, high) == (0, 1) and strings is not None:
@@ -129,7 +126,7 @@ def _walk(tree) -> tuple[set[str] | None, frozenset[frozenset[str]] | None]:
 
 def trigram_query(pattern: str) -> frozenset[frozenset[str]] | None:
     """Clauses of lower-case trigrams of which every match holds one whole; None without any."""
-    exact, query = _walk(_parser.parse(pattern))
+    exact, query = _walk(parse(pattern))
     return _all_of(exact) if exact is not None else query
 
 
