@@ -6,7 +6,8 @@ lowest bit in which the two differ (deterministic coin tossing). A few such roun
 numbers so small that a local maximum stands every few symbols; phrases begin at the maxima,
 and the hash of a phrase is a symbol of the next level. Where a phrase begins depends on a
 few symbols around it alone, so equal substrings have equal phrases inside, whatever their
-offset. The fingerprint holds the smallest phrase names of two levels.
+offset. The fingerprint holds the smallest phrase names of two levels, 32 bits each: of sets of
+m and n names, about m * n / 2**32 agree by chance.
 
 All texts of a batch are parsed at once, level by level, as arrays.
 """
@@ -29,6 +30,7 @@ ROUNDS = 4
 LEVELS = (2, 3)
 KEPT = 32
 BUCKET_TEXT_BYTES = 16 << 20
+MOST_BUCKETS = 20_000  # beyond, buckets grow; their rows stream, so a large one needs no more memory
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = np.cumprod(np.full(64, _ODD, np.uint64))
@@ -172,12 +174,13 @@ def in_order(frame: DataFrame, bucket_text_bytes: int = BUCKET_TEXT_BYTES) -> Da
     """Documents in descending order of id, in buckets, each with the next bucket's first row.
 
     Columns ``bucket``, ``copy`` (the row is that first row), ``doc_id``, ``text``. The text is
-    shuffled once; the driver sees one id a bucket. NULL ids come last, rows of one id in the
-    order of their texts.
+    shuffled once, each bucket to a task of its own. The driver sees one id a bucket, of at
+    most ``MOST_BUCKETS``, and as many rows of 24 bytes are broadcast. NULL ids come last, rows
+    of one id in the order of their texts.
     """
     spark = frame.sparkSession
     schema = "bucket bigint, copy boolean, doc_id bigint, text string"
-    n = parts_for(text_bytes(frame), bucket_text_bytes)
+    n = min(parts_for(text_bytes(frame), bucket_text_bytes), MOST_BUCKETS)
     shares = [i / n for i in range(1, n)]
     cuts = frame.agg(F.percentile_approx("doc_id", shares, max(10_000, 10 * n))).first()[0] if shares else None
     edges = np.array(sorted(set(cuts or ()), reverse=True), np.int64)
@@ -194,11 +197,12 @@ def in_order(frame: DataFrame, bucket_text_bytes: int = BUCKET_TEXT_BYTES) -> Da
         return spark.createDataFrame([], schema)
     before = [(heads[i - 1][0], b, head) for i, (b, head) in enumerate(heads)]
     lead = spark.createDataFrame(before, "to bigint, at bigint, head bigint")
-    # one row of 24 bytes for each bucket of bucket_text_bytes
+    # MOST_BUCKETS rows at most
     copies = placed.join(F.broadcast(lead), (placed["bucket"] == lead["at"]) & placed["doc_id"].eqNullSafe(lead["head"]))
     copies = copies.groupBy("to").agg(F.first("doc_id").alias("doc_id"), F.min("text").alias("text"))
     rows = placed.unionByName(copies.select(F.col("to").alias("bucket"), F.lit(True).alias("copy"), "doc_id", "text"))
-    return rows.repartition(len(heads), "bucket").sortWithinPartitions("bucket", "copy", F.desc_nulls_last("doc_id"), "text")
+    dealt = rows.repartitionById(len(edges) + 1, F.col("bucket").cast("int"))
+    return dealt.sortWithinPartitions("bucket", "copy", F.desc_nulls_last("doc_id"), "text")
 
 
 def edited(text: str, other: str) -> str:
