@@ -410,3 +410,52 @@ def test_lines_near_the_threshold_are_exact(spark):
         gone = n >= 6 and s > 0
         assert r["n_removed"] == gone and r["n_lines"] == 2
         assert r["text"] == ("" if gone else f"A line that stands on {n:03d} sites.\n") + f"Own line of {n} and {s}, long enough."
+
+
+def test_pieces_in_a_row_have_the_ids_they_have_alone(library):
+    rng = random.Random(12)
+    letters = ["a", "B", "é", "日", "😀", ".", ",", "\n", "\t", " ", "1", "23", "'s", "'", "_", "#", "\r\n", "zz", "\x1c"]
+    encoder = token_files.LibraryEncoder(queries.TOKENIZER)
+    pieces = [" " + "x"[: rng.randint(0, 1)] + "".join(rng.choice(letters) for _ in range(rng.randint(1, 6))) for _ in range(9000)]
+    pieces += ["start", " end ", " a  b", ".", " ", "", " 's"]
+    got = encoder._library(pieces)
+    for p, ids in zip(pieces, got, strict=True):
+        if p[:1] == " " and p[1:2].isspace():
+            continue  # no piece: white space behind the space
+        assert np.frombuffer(ids, encoder.kind).tolist() == library.encode(p, add_special_tokens=False).ids, repr(p)
+
+
+@pytest.mark.parametrize(
+    ("part", "key", "value"),
+    [("normalizer", None, {"type": "NFC"}), ("pre_tokenizer", "add_prefix_space", True), ("pre_tokenizer", "type", "Whitespace"), ("model", "ignore_merges", True)],
+)
+def test_other_tokenizer_settings_are_refused(tmp_path, part, key, value):
+    import json
+
+    with open(queries.TOKENIZER, encoding="utf-8") as f:
+        spec = json.load(f)
+    if key is None:
+        spec[part] = value
+    else:
+        spec[part][key] = value
+    path = str(tmp_path / "other.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(spec, f)
+    for reader in (bpe.Merges, token_files.LibraryEncoder):
+        with pytest.raises(ValueError, match=part):
+            reader(path)
+
+
+def test_columns_of_texts_have_the_ids_of_each(library):
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    words = ["plain", "Words", "stop.", "comma,", "日本", "é\nA", "x's", "", "<|endoftext|>", "a\tb", "12", "ends "]
+    for odd in (False, True):
+        texts = [" ".join(rng.choice(words[: None if odd else 7]) for _ in range(rng.randint(0, 30))) for _ in range(200)]
+        texts += ["", " ", "one", " lead", "x " * 5] if odd else ["", "one", " lead"]
+        encoder = token_files.LibraryEncoder(queries.TOKENIZER)
+        for slice_ in (pa.array(texts), pa.array([*texts, None]).slice(3), pa.array([], pa.string())):
+            ids, counts = encoder.table.encode_column(slice_, encoder.kind, np.array([2], encoder.kind).tobytes())
+            want = [[*library.encode(t or "", add_special_tokens=False).ids, 2] for t in slice_.to_pylist()]
+            assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]

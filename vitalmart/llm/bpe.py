@@ -13,7 +13,6 @@ words it has encoded.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalmart.llm.common import computed, named, slices, take_over
-from vitalmart.llm.pieces import PieceTable
+from vitalmart.llm.pieces import PieceTable, check_settings
 
 #: Fixed value: the pattern that splits text before merges in byte-level vocabularies.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -44,8 +43,7 @@ class Merges:
     """Vocabulary and merges of a byte-level BPE file."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        spec = check_settings(path)
         letters = byte_letters()
         model = spec["model"]
         vocab: dict[str, int] = model["vocab"]

@@ -26,12 +26,14 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from vitalmart.llm.common import parts_for, shared_path, slices, stored, take_over, text_bytes, texts
-from vitalmart.llm.pieces import PieceTable
+from vitalmart.llm.pieces import SPACE, PieceTable, check_settings
 
 LENGTH = 2048
 ROWS = 64
 FILE_TEXT_BYTES = 24 << 20
 END_ID = 2
+IN_A_ROW = 2_000
+SLICE = 4 << 20
 
 
 def _opened(path: str) -> tuple[fs.FileSystem, str]:
@@ -45,11 +47,17 @@ class LibraryEncoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
+        check_settings(path)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.kind = id_kind(self.tokenizer.get_vocab_size(with_added_tokens=True))
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.kind = id_kind(size)
+        # Tokens that begin with a space: of pieces in a row, each begins with one of these.
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.opens = np.zeros(max([size, *(i + 1 for i in vocabulary.values())]), bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
         self.table = PieceTable(self._library, special)
 
     @classmethod
@@ -61,10 +69,27 @@ class LibraryEncoder:
         return cls._open[path]
 
     def _library(self, parts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for at in range(0, len(parts), 5_000):  # the library's results are large while they last
-            found = self.tokenizer.encode_batch_fast(parts[at : at + 5_000], add_special_tokens=False)
-            out += [np.array(x.ids, self.kind).tobytes() for x in found]
+        """Packed ids of each piece. Pieces that begin with their only space are encoded many in
+        a row, as one text, and cut at the tokens that begin with a space."""
+        out: list[bytes] = [b""] * len(parts)
+        rows = [n for n, p in enumerate(parts) if p.startswith(" ") and p.count(" ") == 1]
+        alone = [n for n, p in enumerate(parts) if not (p.startswith(" ") and p.count(" ") == 1)]
+        for at in range(0, len(rows), IN_A_ROW):
+            some = rows[at : at + IN_A_ROW]
+            found = self.tokenizer.encode_batch_fast(["".join([parts[n] for n in some])], add_special_tokens=False)
+            ids = np.array(found[0].ids, self.kind)
+            starts = np.flatnonzero(self.opens[ids]) * ids.itemsize
+            if len(starts) != len(some):  # some piece has such a token inside
+                alone += some
+                continue
+            raw, cuts = ids.tobytes(), [*starts.tolist(), ids.nbytes]
+            for n, i, j in zip(some, cuts, cuts[1:]):
+                out[n] = raw[i:j]
+        for at in range(0, len(alone), 5_000):  # the library's results are large while they last
+            some = alone[at : at + 5_000]
+            found = self.tokenizer.encode_batch_fast([parts[n] for n in some], add_special_tokens=False)
+            for n, x in zip(some, found, strict=True):
+                out[n] = np.array(x.ids, self.kind).tobytes()
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -202,14 +227,12 @@ def write_tokens(
         file = f"{folder}/part-{part:07d}-{uuid.uuid4().hex}.arrows"
         out = None
         for whole in batches:
-            for batch in slices(whole, most=2 << 20):
+            for batch in slices(whole, most=SLICE):
                 if out is None and batch.num_rows:
                     out = SequenceWriter(file, kind, length, rows)
-                at, n = [], []
-                for ids in encoder.encode(batch.column("text").to_pylist()):
-                    ids = np.frombuffer(ids + end, kind)
-                    at.append(out.total)
-                    n.append(len(ids))
+                ids, n = encoder.table.encode_column(batch.column("text"), kind, end)
+                at = out.total + np.cumsum(n) - n if out else n
+                if out:
                     out.add(ids)
                 k = len(n)
                 yield pa.RecordBatch.from_arrays(
