@@ -20,4 +20,4 @@ def bucket_cuts(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np
     """Buckets of ascending keys with the first and last place of each."""
     bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
     heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(keys) else np.empty(0, np.int64)
-    return bucket[heads], heads, np.append(heads[1:], len(keys))
+    return bucket[heads], heads, np.append(heads[1:], len(keys))[: len(heads)]

@@ -20,6 +20,7 @@ one by one, dealt by the windows' own hashes, so no bucket gathers one key witho
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalmart.llm.buckets import bucket_cuts, long_keys, short_keys
-from vitalmart.llm.common import id_or_last, parts_for, text_bytes, texts
+from vitalmart.llm.common import MAX_ID, id_or_last, parts_for, text_bytes, texts
 
 LENGTH = 50
 K = 20
@@ -308,27 +309,16 @@ def _distinct(found: Anchors, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key[heads], owner[heads] != owner[last] if len(key) else np.empty(0, bool)
 
 
-def remove_repeats(
-    docs: DataFrame,
-    *,
-    length: int = LENGTH,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    block_bytes: int = BLOCK_BYTES,
-    bucket_bytes: int = BUCKET_BYTES,
-    hot_blocks: int = HOT_BLOCKS,
-) -> DataFrame:
-    """Finds every byte covered by a ``length``-byte string that a smaller id's text holds too.
+def repeated_pieces(
+    frame: DataFrame, length: int, block_bytes: int, bucket_bytes: int, hot_blocks: int
+) -> tuple[DataFrame, DataFrame]:
+    """The documents by block, and the pieces of every block whose anchors other ids have too,
+    packed for the buckets of their anchors.
 
-    Texts are UTF-8 bytes; strings are judged on the input and do not cross documents. Returns
-    one row per row of ``docs``: ``doc_id``, ``n_bytes``, ``spans`` (removed runs, maximal, in
-    order, ends exclusive) and ``kept`` (the other bytes, joined). NULL and empty texts have
-    no bytes; a NULL id is larger than all others, and equal ids are not smaller than each
-    other, so rows of one id never remove from each other; an empty table gives no row.
+    ``frame`` has ``doc_id`` and ``text`` without NULL texts.
     """
     if length < K:
         raise ValueError(f"repeats of under {K} bytes have no anchors")
-    frame = texts(docs, id_col, text_col)
     total = text_bytes(frame)
     n_blocks = parts_for(total, block_bytes)
     bits = max(4, (parts_for(total, bucket_bytes) - 1).bit_length())
@@ -411,12 +401,19 @@ def remove_repeats(
 
     cut_schema = "block bigint, bucket bigint, bytes binary, sizes binary, anchors binary, least binary, piece binary, ids binary, docs binary, starts binary"
     pieces = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(cut, cut_schema)
+    return blocks, pieces
 
-    def match(rows: pd.DataFrame) -> pd.DataFrame:
+
+class Bucket:
+    """The distinct pieces of a bucket: ``strings``, the smallest id of each (``smallest``), those
+    of each anchor (``of_anchor``, without single windows of hot anchors), and ``of_row``, the
+    numbers of each row's pieces."""
+
+    def __init__(self, rows: pd.DataFrame):
         number: dict[bytes, int] = {}
         least: list[int] = []
-        of_anchor: dict[bytes, list[int]] = {}
-        of_row = []
+        self.of_anchor: dict[bytes, list[int]] = {}
+        self.of_row: list[np.ndarray] = []
         packed = ((rows["sizes"], np.uint16), (rows["anchors"], np.uint16), (rows["least"], np.int64))
         for raw, *packs in zip(rows["bytes"], *(c for c, _ in packed), strict=True):
             at, mine = 0, []
@@ -425,30 +422,60 @@ def remove_repeats(
                 at += size
                 k = number.setdefault(piece, len(number))
                 if k == len(least) and anchor != ALONE:
-                    of_anchor.setdefault(piece[anchor : anchor + K], []).append(k)
+                    self.of_anchor.setdefault(piece[anchor : anchor + K], []).append(k)
                 if k == len(least):
                     least.append(i)
                 elif i < least[k]:
                     least[k] = i
                 mine.append(k)
-            of_row.append(np.array(mine, np.int64))
-        strings, smallest = list(number), np.array(least, np.int64)
-        parts: dict[int, list[tuple[int, int]]] = {}
-        # Only pieces of one anchor can share a window, so anchors are taken a few at a time.
+            self.of_row.append(np.array(mine, np.int64))
+        self.strings, self.smallest = list(number), np.array(least, np.int64)
+
+    def runs(self) -> Iterator[list[int]]:
+        """Pieces of anchors with several forms, some anchors at a time: only pieces of one
+        anchor can share a window."""
         some: list[int] = []
-        held, last = 0, len(of_anchor) - 1
-        for n_anchor, ks in enumerate(of_anchor.values()):
+        held, last = 0, len(self.of_anchor) - 1
+        for n, ks in enumerate(self.of_anchor.values()):
             if len(ks) > 1:
                 some += ks
-                held += sum(len(strings[k]) for k in ks)
-            if some and (held >= SORT_BYTES or n_anchor == last):
-                for n, a, b in earlier_matches([strings[k] for k in some], smallest[some], length):
-                    parts.setdefault(some[n], []).append((a, b))
+                held += sum(len(self.strings[k]) for k in ks)
+            if some and (held >= SORT_BYTES or n == last):
+                yield some
                 some, held = [], 0
+
+
+def remove_repeats(
+    docs: DataFrame,
+    *,
+    length: int = LENGTH,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+    bucket_bytes: int = BUCKET_BYTES,
+    hot_blocks: int = HOT_BLOCKS,
+) -> DataFrame:
+    """Finds every byte covered by a ``length``-byte string that a smaller id's text holds too.
+
+    Texts are UTF-8 bytes; strings are judged on the input and do not cross documents. Returns
+    one row per row of ``docs``: ``doc_id``, ``n_bytes``, ``spans`` (removed runs, maximal, in
+    order, ends exclusive) and ``kept`` (the other bytes, joined). NULL and empty texts have
+    no bytes; a NULL id is larger than all others, and equal ids are not smaller than each
+    other, so rows of one id never remove from each other; an empty table gives no row.
+    """
+    blocks, pieces = repeated_pieces(texts(docs, id_col, text_col), length, block_bytes, bucket_bytes, hot_blocks)
+
+    def match(rows: pd.DataFrame) -> pd.DataFrame:
+        held = Bucket(rows)
+        strings, smallest = held.strings, held.smallest
+        parts: dict[int, list[tuple[int, int]]] = {}
+        for some in held.runs():
+            for n, a, b in earlier_matches([strings[k] for k in some], smallest[some], length):
+                parts.setdefault(some[n], []).append((a, b))
         sizes = np.array([len(s) for s in strings], np.int64)
         out = []
         columns = ("block", "piece", "ids", "docs", "starts")
-        for block, piece, ids, docs, starts, mine in zip(*(rows[c] for c in columns), of_row, strict=True):
+        for block, piece, ids, docs, starts, mine in zip(*(rows[c] for c in columns), held.of_row, strict=True):
             k = mine[np.frombuffer(piece, np.uint32)]
             ids, docs, starts = np.frombuffer(ids, np.int64), np.frombuffer(docs, np.int32), np.frombuffer(starts, np.int64)
             later = ids > smallest[k]  # a smaller id has the piece whole
@@ -490,6 +517,52 @@ def remove_repeats(
     return blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInPandas(apply, schema)
 
 
+def repeat_groups(
+    docs: DataFrame,
+    *,
+    length: int = LENGTH,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+    bucket_bytes: int = BUCKET_BYTES,
+    hot_blocks: int = HOT_BLOCKS,
+) -> DataFrame:
+    """Repeats of ``length`` bytes or more that texts of several ids hold, with all occurrences.
+
+    One row per occurrence: ``repeat`` (its bytes), ``doc_id`` and ``place`` (in bytes). Every
+    string of ``length`` bytes that several ids hold lies in one repeat at least whose
+    occurrences are all of that string's. A repeat is a maximal one of the pieces around one
+    anchor: its occurrences there are preceded by different bytes, or begin a piece; a longer
+    common passage is a chain of repeats that overlap. Rows of one id count as one text with
+    several occurrences. NULL texts hold nothing; a NULL id is an id; no row gives no row.
+    """
+    _, pieces = repeated_pieces(texts(docs, id_col, text_col), length, block_bytes, bucket_bytes, hot_blocks)
+
+    def groups(rows: pd.DataFrame) -> pd.DataFrame:
+        held = Bucket(rows)
+        places: list[list[tuple[int, int]]] = [[] for _ in held.strings]
+        columns = ("piece", "ids", "starts")
+        for piece, ids, starts, mine in zip(*(rows[c] for c in columns), held.of_row, strict=True):
+            k = mine[np.frombuffer(piece, np.uint32)].tolist()
+            for n, i, at in zip(k, np.frombuffer(ids, np.int64).tolist(), np.frombuffer(starts, np.int64).tolist(), strict=True):
+                places[n].append((i, at))
+        # A piece that several places have whole, and the maximal intervals of each anchor's tree.
+        found: dict[bytes, set[tuple[int, int]]] = {s: {(k, 0)} for k, s in enumerate(held.strings)}
+        for some in held.runs():
+            for repeat, where in maximal_repeats([held.strings[k] for k in some], length):
+                found.setdefault(repeat, set()).update((some[n], at) for n, at in where)
+        out = []
+        for repeat, where in found.items():
+            spots = [(i, start + at) for k, at in where for i, start in places[k]]
+            if len({i for i, _ in spots}) > 1:
+                out += [(repeat, None if i == MAX_ID else i, at) for i, at in spots]
+        frame = pd.DataFrame(out, columns=["repeat", "doc_id", "place"])
+        frame["doc_id"] = frame["doc_id"].astype("Int64")
+        return frame
+
+    return pieces.groupBy("bucket").applyInPandas(groups, "repeat binary, doc_id bigint, place bigint")
+
+
 def op3_repeats(docs: DataFrame) -> DataFrame:
     """The digest of the contract from the operator's spans and kept bytes."""
     out = remove_repeats(docs)
