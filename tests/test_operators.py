@@ -144,6 +144,7 @@ def test_catalog_beside_what_is_expected(spark):
     spark.sql("CREATE SCHEMA listed")
     tables.write_table(spark.range(3).selectExpr("id", "cast(id as string) as name", "1 as more"), "listed.here")
     spark.sql("CREATE VIEW listed.shown AS SELECT id FROM listed.here")
+    spark.range(1).createOrReplaceTempView("passing_by")
     found = tables.catalog_rows(spark, "listed")
     assert {(r["table_name"], r["table_type"], r["column_name"], r["position"]) for r in found.collect()} == {
         ("here", "MANAGED", "id", 1), ("here", "MANAGED", "name", 2), ("here", "MANAGED", "more", 3), ("shown", "VIEW", "id", 1),

@@ -271,7 +271,8 @@ def verify_tables(spark: SparkSession, schema: str, expected: Iterable[str]) ->
 
 
 def list_tables(spark: SparkSession, schema: str) -> list[str]:
-    return sorted(t.name for t in spark.catalog.listTables(schema))
+    """Tables and views of a schema; temporary views are in none."""
+    return sorted(t.name for t in spark.catalog.listTables(schema) if not t.isTemporary)
 
 
 def describe(spark: SparkSession, name: str) -> DataFrame:
