@@ -13,8 +13,9 @@ from vitalmart.llm.queries import TOKENIZER
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the quality classifier scores below its threshold.
 
-    The network is fitted on labelled rows of ``docs``. NULL texts score as empty ones; the
-    columns are those of ``docs``.
+    The network is fitted on labelled rows of ``docs``, of which there may be none: then all
+    score 0.5 and go. NULL texts score as empty ones, equal texts alike, so repeated rows fare
+    alike; an empty table stays empty; the columns are those of ``docs``.
     """
     net = quality.fit(*quality.sample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
     return quality.keep_good(docs, net)
@@ -23,7 +24,10 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes boilerplate lines out of the texts and counts their characters anew.
 
-    Lines are compared without spaces and carriage returns around them. Every document stays; one that had nothing but boilerplate has an empty text.
+    Lines are compared without spaces and carriage returns around them; short ones need more
+    sites. Every document stays; one that had nothing but boilerplate has an empty text, a NULL
+    text stays NULL. The row of the smallest id keeps a line (rows of one id alike, NULL ids
+    last), so repeated rows fare alike and there are no ties; a NULL source is no site.
     """
     out = lines.drop_boilerplate(docs, n_lines="__n_lines", n_removed="__n_removed", edges=" \r")
     n_chars = F.when(F.col("__n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
@@ -58,12 +62,20 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents of which a twentieth of the words or more are benchmark passages."""
+    """Drops documents of which a twentieth of the words or more are benchmark passages.
+
+    Documents without words, NULL and empty ones among them, stay; repeated rows fare alike;
+    ids play no part. An empty or NULL item, or no item at all, drops nothing.
+    """
     return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text left, packed as little-endian unsigned 32-bit integers."""
+    """Token ids of each text left, packed as little-endian unsigned 32-bit integers.
+
+    One row per row of ``docs``, repeated ones repeated. NULL and empty texts have no ids. Of
+    other columns only ``lang`` and ``source`` go along.
+    """
     coded = bpe.encode(docs, TOKENIZER, carry=("lang", "source"))
     return coded.select("doc_id", "lang", "source", F.expr("cast(octet_length(ids) div 4 as long)").alias("n_tokens"), "ids")
 
@@ -78,7 +90,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``, each stored and read again."""
+    """The stages applied to ``documents``, each stored and read again.
+
+    Each stage works on what the one before it kept; odd rows are treated as the stages say. An
+    empty table gives no row.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
