@@ -44,6 +44,7 @@ FLAG_COLUMNS = {
     "ra_oa": "sp_ra_oa",
     "stroke": "sp_strketia",
 }
+# Codes of sex and race, and the encounter classes of each kind of claim.
 SEX_CODES = {"m": 1, "male": 1, "f": 2, "female": 2}
 RACE_CODES = {"white": 1, "black": 2, "african american": 2, "asian": 4}
 HISPANIC_RACE, OTHER_RACE = 5, 3
@@ -55,8 +56,12 @@ DIAGNOSIS_SLOTS, PROCEDURE_SLOTS = 10, 6
 DEFAULT_SUPPLY_DAYS = 30
 
 MONEY = "decimal(18,2)"
-# Yearly costs: reimbursement, beneficiary and primary payer share per claim kind.
-COSTS = [f"{what}_{kind}" for kind in ("ip", "op", "car") for what in ("medreimb", "benres", "pppymt")]
+# Yearly costs, as reimbursement, beneficiary and primary payer share per claim kind.
+COSTS = [
+    "medreimb_ip", "benres_ip", "pppymt_ip",
+    "medreimb_op", "benres_op", "pppymt_op",
+    "medreimb_car", "benres_car", "pppymt_car",
+]
 
 
 def dollars(column: str) -> Column:
