@@ -93,20 +93,30 @@ class PieceTable:
         raws = [t.encode() for t in texts]
         whole = [any(s in r for s in self.special) for r in raws]
         keys = [[] if w else keys_of(r) for r, w in zip(raws, whole, strict=True)]
+        self._turn()
         needed: set[bytes] = set()
         for k in keys:
             needed.update(k)
-        found = list(needed)
-        get = dict(zip(found, self.packed(found), strict=True)).__getitem__
+        young = self.young
+        missing = list(needed.difference(young))
+        made = zip(missing, self.packed(missing), strict=True)
+        passing = {k: ids for k, ids in made if k not in young}
+        young.update(passing)
+        get = young.__getitem__
         out = [b"".join(map(get, k)) for k in keys]
+        for k in passing:
+            del young[k]
         for n in [n for n, w in enumerate(whole) if w]:
             out[n] = self.learn([texts[n]])[0]
         return out
 
-    def packed(self, keys: list[bytes]) -> list[bytes]:
-        """Packed ids of distinct pieces."""
+    def _turn(self) -> None:
+        """The young generation becomes the old one when it is full."""
         if len(self.young) > self.generation:
             self.young, self.old = {}, self.young
+
+    def packed(self, keys: list[bytes]) -> list[bytes]:
+        """Packed ids of distinct pieces."""
         young, old = self.young, self.old
         out = list(map(young.get, keys))
         stems, wanted = [], {}
@@ -175,6 +185,7 @@ class PieceTable:
         known = {w: n for n, w in enumerate(dict.fromkeys(heads))}
         keys = [_FIRST + w for w in known if w]
         spaced = rest.dictionary.to_pylist()
+        self._turn()
         packed = self.packed([*keys, *spaced])
         own = dict(zip(keys, packed))
         pool = [own.get(_FIRST + w, b"") for w in known] + packed[len(keys) :] + [end]
