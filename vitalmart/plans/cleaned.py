@@ -59,12 +59,18 @@ CONVERSIONS = {
 
 
 def shape(
-    raw: DataFrame, spec: Spec, as_of: dt.date, dates_from_timestamps: bool = False
+    raw: DataFrame,
+    spec: Spec,
+    as_of: dt.date,
+    dates_from_timestamps: bool = False,
+    match: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Apply a spec to its raw table.
 
     Rows missing a required key are filtered on the raw column, where the filter can
     reach the scan. ``dates_from_timestamps`` also accepts timestamp text for dates.
+    ``match`` joins lookups to the converted columns; what it adds comes last. Digests,
+    constants and derived columns are made after it, so a join does not shuffle them.
     """
     convert = dict(CONVERSIONS)
     if dates_from_timestamps:
@@ -74,20 +80,31 @@ def shape(
         for kind in CONVERSIONS
         for out, source in getattr(spec, kind).items()
     }
-    typed |= {out: hashed(*parts) for out, parts in spec.ids.items()}
-    typed |= {out: F.lit(value) for out, value in spec.constant.items()}
-    typed["source_system"] = F.col("_rec_src")
+    # Digests read raw columns; those that are kept as text go by their new name.
+    text_of = {source: out for out, source in spec.text.items()}
+    parts = {p: text_of.get(p, f"_raw_{p}") for names in spec.ids.values() for p in names}
+    carried = {out: F.col(p) for p, out in parts.items() if out not in typed}
+    carried["source_system"] = F.col("_rec_src")
     if spec.with_state:
-        typed["source_state"] = F.col("_state")
+        carried["source_state"] = F.col("_state")
 
     present = raw.filter(" AND ".join(f"{spec.text[k]} IS NOT NULL" for k in spec.required))
-    shaped = present.select(*[column.alias(out) for out, column in typed.items()])
+    converted = present.select(*[column.alias(out) for out, column in {**typed, **carried}.items()])
+    met = match(converted) if match else converted
+    added = met.columns[len(converted.columns) :]
+
+    made = {out: F.col(out) for out in typed}
+    made |= {out: hashed(*[parts[p] for p in names]) for out, names in spec.ids.items()}
+    made |= {out: F.lit(value) for out, value in spec.constant.items()}
+    made |= {out: F.col(out) for out in carried if not out.startswith("_")}
+    shaped = met.select(*[column.alias(out) for out, column in made.items()], *added)
     if not spec.derived:
         return shaped
     # One select: a derived column may use the ones before it as lateral aliases.
     today = F.lit(as_of).cast("date")
-    shown = [out for out in typed if not out.startswith("_")]
-    return shaped.select(*shown, *[rule(today).alias(out) for out, rule in spec.derived.items()])
+    shown = [out for out in made if not out.startswith("_")]
+    derived = [rule(today).alias(out) for out, rule in spec.derived.items()]
+    return shaped.select(*shown, *derived, *added)
 
 
 def _is(column: str, value: str) -> Derived:
@@ -628,12 +645,16 @@ def enrich(
     return facts.join(side, facts[on] == side["_code"], "left").drop("_code")
 
 
+def _lookup(lookup: DataFrame | None, *how) -> Callable[[DataFrame], DataFrame]:
+    return lambda facts: enrich(facts, lookup, *how)
+
+
 def condition(raw, as_of, snomed_map: DataFrame | None = None) -> DataFrame:
     """``snomed_map`` should hold one row per concept (the simple view); with the full
     map, a condition appears once per mapped code."""
     take = {"icd10cm_code": "icd10cm_code", "icd10cm_name": "icd10cm_name"}
-    shaped = shape(raw, SPECS["condition"], as_of)
-    return enrich(shaped, snomed_map, "condition_code", "snomed_concept_id", take)
+    match = _lookup(snomed_map, "condition_code", "snomed_concept_id", take)
+    return shape(raw, SPECS["condition"], as_of, match=match)
 
 
 def condition_targets(raw, as_of, snomed_map: DataFrame) -> DataFrame:
@@ -665,8 +686,8 @@ def procedure(raw, as_of, hcpcs: DataFrame | None = None) -> DataFrame:
         "hcpcs_code_type": "code_type",
         "betos_code": "betos_code",
     }
-    shaped = shape(raw, SPECS["procedure"], as_of)
-    return enrich(shaped, _active(hcpcs), "procedure_code", "hcpcs_code", take)
+    match = _lookup(_active(hcpcs), "procedure_code", "hcpcs_code", take)
+    return shape(raw, SPECS["procedure"], as_of, match=match)
 
 
 def medication(
@@ -679,49 +700,48 @@ def medication(
     """Drug names, one package code per drug (the lowest) and that package's product.
 
     The crosswalk has 11-digit package codes and the product file dashed product codes,
-    so both meet on the 9 labeler and product digits.
+    so both meet on the 9 labeler and product digits. The lookups meet each other first, a
+    row per drug, so that the prescriptions are joined, and shuffled, once.
     """
-    one_code = one_product = None
+    names = {"rxnorm_name": "rxnorm_name", "rxnorm_term_type": "tty"}
+    about = {
+        "ndc_proprietary_name": "proprietary_name",
+        "ndc_nonproprietary_name": "nonproprietary_name",
+        "dosage_form": "dosage_form_name",
+        "route": "route_name",
+        "manufacturer": "labeler_name",
+    }
+    drugs = None
     if crosswalk is not None:
-        one_code = crosswalk.groupBy("rxcui").agg(F.min("ndc_11_digit").alias("ndc_code"))
-    if products is not None and crosswalk is not None:
-        kept = [
-            "proprietary_name",
-            "nonproprietary_name",
-            "dosage_form_name",
-            "route_name",
-            "labeler_name",
-        ]
-        first = F.min_by(F.struct(*kept), F.struct("product_id", *kept)).alias("first")
-        keyed = products.withColumn("product_key", ndc9(F.col("product_ndc")))
-        one_product = keyed.groupBy("product_key").agg(first).select("product_key", "first.*")
-    named = enrich(
-        shape(raw, SPECS["medication"], as_of),
-        concepts,
-        "medication_code",
-        "rxcui",
-        {"rxnorm_name": "rxnorm_name", "rxnorm_term_type": "tty"},
-    )
-    coded = enrich(named, one_code, "medication_code", "rxcui", {"ndc_code": "ndc_code"})
-    keyed_facts = coded.withColumn("_product_key", F.substring("ndc_code", 1, 9))
-    return enrich(
-        keyed_facts,
-        one_product,
-        "_product_key",
-        "product_key",
-        {
-            "ndc_proprietary_name": "proprietary_name",
-            "ndc_nonproprietary_name": "nonproprietary_name",
-            "dosage_form": "dosage_form_name",
-            "route": "route_name",
-            "manufacturer": "labeler_name",
-        },
-    ).drop("_product_key")
+        lowest = F.min("ndc_11_digit").alias("ndc_code")
+        drugs = crosswalk.filter("rxcui is not null").groupBy("rxcui").agg(lowest)
+        one_product = None
+        if products is not None:
+            kept = list(about.values())
+            first = F.min_by(F.struct(*kept), F.struct("product_id", *kept)).alias("first")
+            keyed = products.withColumn("product_key", ndc9(F.col("product_ndc")))
+            one_product = keyed.groupBy("product_key").agg(first).select("product_key", "first.*")
+        drugs = drugs.withColumn("_product_key", F.substring("ndc_code", 1, 9))
+        drugs = enrich(drugs, one_product, "_product_key", "product_key", about).drop("_product_key")
+    if concepts is not None:
+        known = concepts.filter("rxcui is not null").select(
+            "rxcui", *[F.col(column).alias(out) for out, column in names.items()]
+        )
+        drugs = known if drugs is None else known.join(drugs, "rxcui", "full")
+    take = {**names, "ndc_code": "ndc_code", **about}
+
+    def match(facts: DataFrame) -> DataFrame:
+        found = [out for out in take if drugs is not None and out in drugs.columns]
+        joined = enrich(facts, drugs, "medication_code", "rxcui", {out: out for out in found})
+        absent = typed_nulls([out for out in take if out not in joined.columns])
+        return joined.select("*", *absent).select(*facts.columns, *take)
+
+    return shape(raw, SPECS["medication"], as_of, match=match)
 
 
 def allergy(raw, as_of, concepts: DataFrame | None = None) -> DataFrame:
     take = {"rxnorm_name": "rxnorm_name", "rxnorm_term_type": "tty"}
-    return enrich(shape(raw, SPECS["allergy"], as_of), concepts, "allergy_code", "rxcui", take)
+    return shape(raw, SPECS["allergy"], as_of, match=_lookup(concepts, "allergy_code", "rxcui", take))
 
 
 def claim(raw, as_of, icd: DataFrame | None = None) -> DataFrame:
@@ -734,8 +754,8 @@ def claim(raw, as_of, icd: DataFrame | None = None) -> DataFrame:
 
 def claimresponse(raw, as_of, hcpcs: DataFrame | None = None) -> DataFrame:
     take = {"procedure_description": "short_description", "procedure_code_type": "code_type"}
-    shaped = shape(raw, SPECS["claimresponse"], as_of)
-    return enrich(shaped, _active(hcpcs), "procedure_code", "hcpcs_code", take)
+    match = _lookup(_active(hcpcs), "procedure_code", "hcpcs_code", take)
+    return shape(raw, SPECS["claimresponse"], as_of, match=match)
 
 
 # Entities with lookups: builder and the lookup tables it takes, in argument order.
