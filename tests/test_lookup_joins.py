@@ -20,12 +20,20 @@ def test_digests_are_made_after_the_join(spark, sf_dir, name):
     assert not any("sha2(" in line or "SNOMED" in line for line in lines[first:])
 
 
-def test_prescriptions_are_joined_once_for_lookups(spark, sf_dir):
-    plan = optimized(QUERIES["cleaned_medication"](spark, sf_dir))
-    fact_joins = [line for line in plan.splitlines() if "Join LeftOuter, (medication_code" in line or "Join LeftOuter, (_product_key" in line]
-    assert len(fact_joins) == 2  # prescriptions with drugs, and drugs with products
-    top = plan.splitlines().index(fact_joins[0])
-    assert "Join FullOuter" in plan and top < next(n for n, line in enumerate(plan.splitlines()) if "Join FullOuter" in line)
+def test_prescriptions_are_joined_by_drug_only(spark, sf_dir):
+    plan = optimized(QUERIES["cleaned_medication"](spark, sf_dir)).splitlines()
+    joins = [line for line in plan if "Join LeftOuter" in line]
+    by_drug = [n for n, line in enumerate(joins) if "(medication_code" in line]
+    by_product = [n for n, line in enumerate(joins) if "_product_key" in line]
+    assert len(by_drug) == 2 and len(by_product) == 1
+    spread = [line.index("Join LeftOuter") for line in joins]
+    # Products are joined below the packages, beside the prescriptions and not over them.
+    assert by_drug[0] == 0 and spread[by_product[0]] > spread[0]
+
+
+def test_drug_lookups_nobody_reads_are_not_joined(spark, sf_dir):
+    plan = optimized(QUERIES["agg_medication_utilization"](spark, sf_dir))
+    assert "product_key" not in plan and "ndc_code" not in plan
 
 
 def test_drugs_known_to_some_lookups_only(spark, rows):

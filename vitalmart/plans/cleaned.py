@@ -700,8 +700,9 @@ def medication(
     """Drug names, one package code per drug (the lowest) and that package's product.
 
     The crosswalk has 11-digit package codes and the product file dashed product codes,
-    so both meet on the 9 labeler and product digits. The lookups meet each other first, a
-    row per drug, so that the prescriptions are joined, and shuffled, once.
+    so both meet on the 9 labeler and product digits. Packages and products meet first, a row
+    per drug, so that prescriptions are shuffled by drug only. Both have one row a key, which
+    lets Spark leave out their joins where nothing of them is read.
     """
     names = {"rxnorm_name": "rxnorm_name", "rxnorm_term_type": "tty"}
     about = {
@@ -723,18 +724,10 @@ def medication(
             one_product = keyed.groupBy("product_key").agg(first).select("product_key", "first.*")
         drugs = drugs.withColumn("_product_key", F.substring("ndc_code", 1, 9))
         drugs = enrich(drugs, one_product, "_product_key", "product_key", about).drop("_product_key")
-    if concepts is not None:
-        known = concepts.filter("rxcui is not null").select(
-            "rxcui", *[F.col(column).alias(out) for out, column in names.items()]
-        )
-        drugs = known if drugs is None else known.join(drugs, "rxcui", "full")
-    take = {**names, "ndc_code": "ndc_code", **about}
-
     def match(facts: DataFrame) -> DataFrame:
-        found = [out for out in take if drugs is not None and out in drugs.columns]
-        joined = enrich(facts, drugs, "medication_code", "rxcui", {out: out for out in found})
-        absent = typed_nulls([out for out in take if out not in joined.columns])
-        return joined.select("*", *absent).select(*facts.columns, *take)
+        named = enrich(facts, concepts, "medication_code", "rxcui", names)
+        have = {out: out for out in ("ndc_code", *about)}
+        return enrich(named, drugs, "medication_code", "rxcui", have)
 
     return shape(raw, SPECS["medication"], as_of, match=match)
 
