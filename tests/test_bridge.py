@@ -55,3 +55,21 @@ def test_condition_targets_multiply_counts(spark, sf_dir):
     fanned = cleaned.condition(raw, bridge.AS_OF, mapping).groupBy("condition_code", "icd10cm_code").count()
     counted = cleaned.condition_targets(raw, bridge.AS_OF, mapping)
     assert sorted(map(tuple, fanned.collect()), key=repr) == sorted(map(tuple, counted.collect()), key=repr)
+
+
+@pytest.mark.parametrize("name", ["lookup_hcpcs_codes", "lookup_icd10cm_codes", "v_snomed_icd10cm_simple"])
+def test_code_files_are_made_in_methods_the_jvm_compiles(spark, sf_dir, name):
+    """Longer methods than 8,000 bytes are interpreted, at some 100 microseconds a part."""
+    from checks.queries import Clinic
+
+    found = Clinic(spark, sf_dir)["v_hcpcs_active" if name == "lookup_hcpcs_codes" else name]
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = found.select("*")._jdf.queryExecution()
+        made = found.debug().codegenToSeq()
+        sizes = [made.apply(i)._3().maxMethodCodeSize() for i in range(made.size())]
+        dealt = "hashpartitioning(p_partkey" in found.executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sizes and max(sizes) < 8000 and dealt
