@@ -125,3 +125,21 @@ def test_plans_hold_no_row_for_all(spark):
     assert "collect_list" not in plan and "inline" not in plan
     plan = ops.numbered(df, "key", "day", ["amount"])._jdf.queryExecution().optimizedPlan().toString()
     assert "monotonically" not in plan
+
+
+def test_small_groups_are_numbered_in_one_window(spark):
+    df = spark.range(100).selectExpr("cast(id % 9 as string) as k", "cast(id % 5 as string) as day", "id as v").repartition(3)
+    out = ops.numbered(df, "k", "day", ["v"])
+    assert out.count() == 100
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Window [") == 1 and "_slice" not in final
+
+
+def test_left_join_makes_its_hot_side_once(spark, rows):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, l string")
+    made = spark.createDataFrame([(1, i) for i in range(50)] + [(None, 99), (3, 4)], "k int, r int")
+    right = made.groupBy("k", "r").agg(F.count("*").alias("made_once"))
+    got = ops.left_join_hot_right(left, right, "k", keys=made)
+    assert rows(got) == rows(left.join(right, "k", "left"))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("count(1) AS made_once") == 1

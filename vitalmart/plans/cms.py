@@ -278,8 +278,21 @@ LINE_AMOUNTS = [
 ]
 
 
+def _carrier_headers(encounter: DataFrame) -> DataFrame:
+    keyed = encounter.filter("encounter_id is not null and patient_id is not null")
+    return in_class(keyed, CARRIER_CLASSES).select(
+        "encounter_id",
+        "patient_id",
+        "provider_id",
+        "start_datetime",
+        "end_datetime",
+        "source_system",
+    )
+
+
 def fact_cms_carrier_claims(encounter: DataFrame, procedure: DataFrame) -> DataFrame:
     """Professional claims, one row per procedure line; claims without lines get line 1."""
+    header = _carrier_headers(encounter)
     lines = procedure.filter(c("encounter_id").isNotNull()).select(
         "encounter_id",
         "procedure_id",
@@ -290,19 +303,10 @@ def fact_cms_carrier_claims(encounter: DataFrame, procedure: DataFrame) -> DataF
         "betos_code",
         "procedure_description",
     )
-    keyed = encounter.filter("encounter_id is not null and patient_id is not null")
-    header = in_class(keyed, CARRIER_CLASSES).select(
-        "encounter_id",
-        "patient_id",
-        "provider_id",
-        "start_datetime",
-        "end_datetime",
-        "source_system",
-    )
     # Lines of other classes are never numbered.
     lines = lines.join(header.select("encounter_id"), "encounter_id", "left_semi")
     line = numbered(lines, "encounter_id", "performed_date", ["procedure_id", "procedure_cost"])
-    return left_join_hot_right(header, line, "encounter_id").select(
+    return left_join_hot_right(header, line, "encounter_id", keys=procedure).select(
         surrogate_key("encounter_id").alias("claim_key"),
         surrogate_key("patient_id").alias("beneficiary_key"),
         surrogate_key("provider_id").alias("provider_key"),
