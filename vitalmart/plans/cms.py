@@ -339,6 +339,20 @@ def fact_cms_carrier_claims(encounter: DataFrame, procedure: DataFrame) -> DataF
     )
 
 
+def carrier_costs(encounter: DataFrame, procedure: DataFrame) -> DataFrame:
+    """What yearly costs read of the carrier claims, without numbering their lines."""
+    header = _carrier_headers(encounter)
+    lines = procedure.select("encounter_id", "procedure_cost")
+    joined = left_join_hot_right(header, lines, "encounter_id", keys=procedure)
+    return joined.select(
+        *named(
+            desynpuf_id="patient_id",
+            clm_from_dt=F.to_date("start_datetime"),
+            **{amount: dollars("procedure_cost") for amount in COST_SOURCES["car"]},
+        )
+    )
+
+
 # --- yearly costs ----------------------------------------------------------------------
 
 # Which claim amounts feed reimbursement, beneficiary and payer shares.
