@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from vitalmart.functions.keys import surrogate_key
 from vitalmart.functions.measures import bands, is_blank, or_zero, recode
 from vitalmart.operators.rows import running_until
-from vitalmart.plans.cms import DIAGNOSIS_SLOTS, FLAG_COLUMNS
+from vitalmart.plans.cms import (
+    DIAGNOSIS_SLOTS,
+    FLAG_COLUMNS,
+    fact_cms_inpatient_claims,
+    fact_cms_outpatient_claims,
+)
 from vitalmart.plans.star import named
 from vitalmart.sources.tables import typed_nulls
 
@@ -238,6 +243,28 @@ def diagnoses_of_top_claims(
     )
 
 
+def diagnoses_of_top_encounters(
+    encounter: DataFrame,
+    condition: DataFrame,
+    procedure: DataFrame,
+    diagnoses: DataFrame,
+    top: int = 10,
+) -> DataFrame:
+    """`diagnoses_of_top_claims` where the claims are not stored yet: the highest claims are
+    found from encounters alone, and code slots are made for these only."""
+
+    def kinds(*inputs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return fact_cms_outpatient_claims(*inputs), fact_cms_inpatient_claims(*inputs)
+
+    outpatient, inpatient = kinds(encounter, condition, procedure)
+    paid = ("claim_key", "clm_pmt_amt", c("clm_id").alias("encounter_id"))
+    claims = outpatient.select(*paid).unionByName(inpatient.select(*paid))
+    highest = claims.orderBy(F.desc("clm_pmt_amt"), "claim_key").limit(top)
+    theirs = F.broadcast(highest.select("encounter_id").distinct())
+    few = [rows.join(theirs, "encounter_id", "left_semi") for rows in (encounter, condition, procedure)]
+    return diagnoses_of_top_claims(*kinds(*few), diagnoses, top)
+
+
 def predicted_amounts(claims: DataFrame, beneficiary: DataFrame) -> DataFrame:
     """Every claimant with the mean payment of claimants of the same state and gender."""
     own = claims.groupBy("beneficiary_key", "beneficiary_code").agg(
