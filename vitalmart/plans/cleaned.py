@@ -679,14 +679,27 @@ def _active(lookup: DataFrame | None) -> DataFrame | None:
     return None if lookup is None else lookup.filter("is_active")
 
 
+# What procedures take of their code's lookup row.
+PROCEDURE_CODES = {
+    "hcpcs_code": "hcpcs_code",
+    "hcpcs_description": "short_description",
+    "hcpcs_code_type": "code_type",
+    "betos_code": "betos_code",
+}
+
+
+def with_procedure_codes(facts: DataFrame, hcpcs: DataFrame | None) -> DataFrame:
+    return enrich(facts, _active(hcpcs), "procedure_code", "hcpcs_code", PROCEDURE_CODES)
+
+
+def lists_codes_once(hcpcs: DataFrame) -> bool:
+    """Whether a procedure meets one active lookup row at most; this counts them in a job."""
+    listed = _active(hcpcs).filter(F.col("hcpcs_code").isNotNull()).groupBy("hcpcs_code")
+    return listed.agg(F.count("*").alias("_rows")).filter(F.col("_rows") > 1).isEmpty()
+
+
 def procedure(raw, as_of, hcpcs: DataFrame | None = None) -> DataFrame:
-    take = {
-        "hcpcs_code": "hcpcs_code",
-        "hcpcs_description": "short_description",
-        "hcpcs_code_type": "code_type",
-        "betos_code": "betos_code",
-    }
-    match = _lookup(_active(hcpcs), "procedure_code", "hcpcs_code", take)
+    match = lambda facts: with_procedure_codes(facts, hcpcs)
     return shape(raw, SPECS["procedure"], as_of, match=match)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vitalmart.functions.keys import date_key, surrogate_key
 from vitalmart.functions.measures import days_between, or_zero, recode
 from vitalmart.operators.rows import first_n_as_columns, left_join_hot_right, numbered
+from vitalmart.plans import cleaned
 from vitalmart.plans.star import named
 from vitalmart.sources.tables import typed_nulls
 
@@ -284,29 +285,42 @@ def _carrier_headers(encounter: DataFrame) -> DataFrame:
         "encounter_id",
         "patient_id",
         "provider_id",
-        "start_datetime",
-        "end_datetime",
+        F.to_date("start_datetime").alias("clm_from_dt"),
+        F.to_date("end_datetime").alias("clm_thru_dt"),
         "source_system",
     )
 
 
-def fact_cms_carrier_claims(encounter: DataFrame, procedure: DataFrame) -> DataFrame:
-    """Professional claims, one row per procedure line; claims without lines get line 1."""
+def fact_cms_carrier_claims(
+    encounter: DataFrame, procedure: DataFrame, codes: DataFrame | None = None
+) -> DataFrame:
+    """Professional claims, one row per procedure line; claims without lines get line 1.
+
+    ``codes`` is the lookup of a ``procedure`` table that was not joined to it. Numbered lines
+    meet it, so lines are shuffled by encounter, and only those of carrier claims by code.
+    Where it lists a code more than once, a line is several, and lines meet it first.
+    """
+    if codes is not None:
+        procedure = procedure.drop(*cleaned.PROCEDURE_CODES)
+        if not cleaned.lists_codes_once(codes):
+            procedure, codes = cleaned.with_procedure_codes(procedure, codes), None
+    looked_up = ["hcpcs_code", "hcpcs_description", "betos_code"]
     header = _carrier_headers(encounter)
     lines = procedure.filter(c("encounter_id").isNotNull()).select(
         "encounter_id",
         "procedure_id",
         "performed_date",
         "procedure_cost",
-        "hcpcs_code",
-        "hcpcs_description",
-        "betos_code",
         "procedure_description",
+        *(looked_up if codes is None else ["procedure_code"]),
     )
     # Lines of other classes are never numbered.
     lines = lines.join(header.select("encounter_id"), "encounter_id", "left_semi")
     line = numbered(lines, "encounter_id", "performed_date", ["procedure_id", "procedure_cost"])
-    return left_join_hot_right(header, line, "encounter_id", keys=procedure).select(
+    claims = left_join_hot_right(header, line, "encounter_id", keys=procedure)
+    if codes is not None:
+        claims = cleaned.with_procedure_codes(claims, codes)
+    return claims.select(
         surrogate_key("encounter_id").alias("claim_key"),
         surrogate_key("patient_id").alias("beneficiary_key"),
         surrogate_key("provider_id").alias("provider_key"),
@@ -316,14 +330,14 @@ def fact_cms_carrier_claims(encounter: DataFrame, procedure: DataFrame) -> DataF
             clm_id="encounter_id",
             desynpuf_id="patient_id",
             clm_line_num=F.coalesce("line_num", F.lit(1)),
-            clm_from_dt=F.to_date("start_datetime"),
-            clm_thru_dt=F.to_date("end_datetime"),
+            clm_from_dt="clm_from_dt",
+            clm_thru_dt="clm_thru_dt",
             prf_physn_npi="provider_id",
             hcpcs_cd="hcpcs_code",
             betos_cd="betos_code",
             line_srvc_desc="procedure_description",
             line_service_cnt=F.lit(1).cast(MONEY),
-            service_date_key=date_key("start_datetime"),
+            service_date_key=date_key("clm_from_dt"),
             **{amount: dollars("procedure_cost") for amount in LINE_AMOUNTS},
         ),
         *typed_nulls(
@@ -347,7 +361,7 @@ def carrier_costs(encounter: DataFrame, procedure: DataFrame) -> DataFrame:
     return joined.select(
         *named(
             desynpuf_id="patient_id",
-            clm_from_dt=F.to_date("start_datetime"),
+            clm_from_dt="clm_from_dt",
             **{amount: dollars("procedure_cost") for amount in COST_SOURCES["car"]},
         )
     )
