@@ -70,30 +70,38 @@ def shape(
     Rows missing a required key are filtered on the raw column, where the filter can
     reach the scan. ``dates_from_timestamps`` also accepts timestamp text for dates.
     ``match`` joins lookups to the converted columns; what it adds comes last. Digests,
-    constants and derived columns are made after it, so a join does not shuffle them.
+    constants and derived columns are made after it, so a join does not shuffle them. Nor does
+    it both a text that a digest reads and what is converted from that text.
     """
     convert = dict(CONVERSIONS)
     if dates_from_timestamps:
         convert["date"] = lambda value: casts.as_date(value, accept_timestamp=True)
-    typed = {
-        out: convert[kind](F.col(source))
+    source_of = {
+        out: (convert[kind], source)
         for kind in CONVERSIONS
         for out, source in getattr(spec, kind).items()
     }
     # Digests read raw columns; those that are kept as text go by their new name.
     text_of = {source: out for out, source in spec.text.items()}
     parts = {p: text_of.get(p, f"_raw_{p}") for names in spec.ids.values() for p in names}
-    carried = {out: F.col(p) for p, out in parts.items() if out not in typed}
+    raw_of = {p: out for p, out in parts.items() if out not in source_of}
+    typed = {out: to(F.col(source)) for out, (to, source) in source_of.items() if source not in raw_of}
+    carried = {out: F.col(p) for p, out in raw_of.items()}
     carried["source_system"] = F.col("_rec_src")
     if spec.with_state:
         carried["source_state"] = F.col("_state")
 
     present = raw.filter(" AND ".join(f"{spec.text[k]} IS NOT NULL" for k in spec.required))
+    # Texts come last: rows whose fixed-width columns lie together compress better in a shuffle.
+    typed = dict(sorted(typed.items(), key=lambda item: item[0] in spec.text))
     converted = present.select(*[column.alias(out) for out, column in {**typed, **carried}.items()])
     met = match(converted) if match else converted
     added = met.columns[len(converted.columns) :]
 
-    made = {out: F.col(out) for out in typed}
+    made = {
+        out: F.col(out) if out in typed else to(F.col(raw_of[source]))
+        for out, (to, source) in source_of.items()
+    }
     made |= {out: hashed(*[parts[p] for p in names]) for out, names in spec.ids.items()}
     made |= {out: F.lit(value) for out, value in spec.constant.items()}
     made |= {out: F.col(out) for out in carried if not out.startswith("_")}
@@ -732,9 +740,10 @@ def medication(
         one_product = None
         if products is not None:
             kept = list(about.values())
-            first = F.min_by(F.struct(*kept), F.struct("product_id", *kept)).alias("first")
+            first = F.min(F.struct("product_id", *kept)).alias("first")
             keyed = products.withColumn("product_key", ndc9(F.col("product_ndc")))
-            one_product = keyed.groupBy("product_key").agg(first).select("product_key", "first.*")
+            one_product = keyed.groupBy("product_key").agg(first)
+            one_product = one_product.select("product_key", *[f"first.{name}" for name in kept])
         drugs = drugs.withColumn("_product_key", F.substring("ndc_code", 1, 9))
         drugs = enrich(drugs, one_product, "_product_key", "product_key", about).drop("_product_key")
     def match(facts: DataFrame) -> DataFrame:
